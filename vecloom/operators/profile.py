@@ -9,8 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..functions.text import build_text, quoted
 from ..functions.keys import content_hash, row_id
+from ..functions.text import build_text, quoted
 
 # Columns taken first when they qualify, and the default key columns.
 PREFERRED_TEXT = (
@@ -22,6 +22,10 @@ PREFERRED_TEXT = (
 )
 PREFERRED_KEYS = ("_id", "_source.assetResourceId", "_source.file_name_text", "_source.filename")
 
+# Texts that a CSV reader takes for numbers or flags.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|^\s*[+-]?(?i:inf|infinity)\s*$"
+FLAGS = ("True", "TRUE", "true", "False", "FALSE", "false")
+
 SAMPLE_ROWS = 200
 MIN_AVG_LEN = 5
 MIN_DISTINCT_CAP = 2000
@@ -35,46 +39,49 @@ def profile_columns(df: DataFrame, ordinal: Column | str, columns: Sequence[str]
     """Per string column: ``non_null``, ``distinct``, ``avg_len`` of the first values in
     ``ordinal`` order, ``candidate``, and its ``rank`` among the picked columns (null if not).
 
-    One narrow unpivot feeds two aggregations. Distinct values are counted in two steps, long
-    ones by their digest, so neither a frequent value nor a wide one burdens a task.
+    A column holding nothing but numbers, or nothing but flags, is no text column even when it
+    was read as STRING. One narrow unpivot feeds two aggregations. Distinct values are counted in two steps,
+    long ones by their digest, so neither a frequent value nor a wide one burdens a task.
     """
     ordinal = F.col(ordinal) if isinstance(ordinal, str) else ordinal
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
     columns = [c for c in strings if columns is None or c in columns]
-    cells = df.select(
-        ordinal.alias("ord"),
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), quoted(c).alias("value")) for c in columns])
-        ).alias("cell"),
-    ).select("ord", "cell.column", "cell.value").where("value is not null")
+    slots = [f"c{i}" for i in range(len(columns))]
+    named = df.select(ordinal.alias("ord"), *[quoted(c).alias(s) for c, s in zip(columns, slots)])
+    cells = named.unpivot("ord", slots, "slot", "value").where("value is not null")
 
     long_value = F.length("value") > _LONG_VALUE
     digest = F.when(long_value, F.concat(F.lit("#"), F.sha1("value"), F.length("value"))).otherwise(F.col("value"))
     counted = (
-        cells.groupBy("column", digest.alias("digest"))
+        cells.groupBy("slot", digest.alias("digest"))
         .agg(F.count("*").alias("n"))
-        .groupBy("column")
-        .agg(F.sum("n").alias("non_null"), F.count("*").alias("distinct"))
+        .groupBy("slot")
+        .agg(
+            F.sum("n").alias("non_null"),
+            F.count("*").alias("distinct"),
+            F.bool_and(F.col("digest").rlike(NUMBER)).alias("numbers"),
+            F.bool_and(F.col("digest").isin(*FLAGS)).alias("flags"),
+        )
     )
 
-    lens = cells.select("ord", "column", F.length("value").alias("len"))
-    salted = W.partitionBy("column", F.pmod(F.xxhash64("ord"), F.lit(_SAMPLE_SALTS))).orderBy("ord")
-    merged = W.partitionBy("column").orderBy("ord")
+    lens = cells.select("ord", "slot", F.length("value").alias("len"))
+    salted = W.partitionBy("slot", F.pmod(F.xxhash64("ord"), F.lit(_SAMPLE_SALTS))).orderBy("ord")
+    merged = W.partitionBy("slot").orderBy("ord")
     head = lens.withColumn("rn", F.row_number().over(salted)).where(f"rn <= {SAMPLE_ROWS}")
     head = head.withColumn("rn", F.row_number().over(merged)).where(f"rn <= {SAMPLE_ROWS}")
-    sampled = head.groupBy("column").agg(F.avg("len").alias("avg_len"))
+    sampled = head.groupBy("slot").agg(F.avg("len").alias("avg_len"))
 
     limit = F.greatest(F.lit(MIN_DISTINCT_CAP), F.floor(F.col("non_null") * DISTINCT_SHARE))
-    stats = counted.join(sampled, "column").withColumn(
-        "candidate", (F.col("distinct") <= limit) & (F.col("avg_len") >= MIN_AVG_LEN)
+    text_like = ~(F.col("numbers") | F.col("flags"))
+    stats = counted.join(sampled, "slot").withColumn(
+        "candidate", text_like & (F.col("distinct") <= limit) & (F.col("avg_len") >= MIN_AVG_LEN)
     )
     order = [c for c in PREFERRED_TEXT if c in columns] + [c for c in columns if c not in PREFERRED_TEXT]
+    name = F.get(F.array(*[F.lit(c) for c in columns]), F.substring("slot", 2, 9).cast("int"))
+    stats = stats.withColumn("column", name)
     place = F.array_position(F.array(*[F.lit(c) for c in order]), F.col("column"))
     # a handful of rows by now, one per column
-    position = F.when(
-        F.col("candidate"),
-        F.row_number().over(W.partitionBy("candidate").orderBy(place)),
-    )
+    position = F.when(F.col("candidate"), F.row_number().over(W.partitionBy("candidate").orderBy(place)))
     return stats.select(
         "column",
         "non_null",

@@ -23,7 +23,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, LongType, StringType
+from pyspark.sql.types import ArrayType, DataType, IntegerType, LongType, StringType, StructField, StructType
+
+from ..functions.text import base_name, preview, strip_blanks
 
 METRICS = ("ip", "l2", "cosine")
 SCORE_DIGITS = 9
@@ -261,8 +263,6 @@ def train_centroids(vectors: DataFrame, cells: int, sample_rows: int = 200_000,
 
 def nearest_cells(df: DataFrame, vector: str, centroids: np.ndarray, n: int) -> DataFrame:
     """``df`` plus ``cells``, the n nearest centroids of each row, nearest first."""
-    from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
-
     shared = df.sparkSession.sparkContext.broadcast(centroids)
     n = min(n, len(centroids))
     schema = StructType([*df.schema.fields, StructField("cells", ArrayType(IntegerType()))])
@@ -327,25 +327,32 @@ class CellIndex:
 # hashed candidates
 
 
-def signatures(df: DataFrame, vector: str, tables: int, bits: int, seed: int) -> DataFrame:
-    """``df`` with one row per hash table and its ``cell`` "table:bits" of random hyperplanes."""
-    from pyspark.sql.types import StringType, StructField, StructType
+def signatures(df: DataFrame, vector: str, tables: int, bits: int, seed: int, probes: int = 1) -> DataFrame:
+    """``df`` with one row per hash table and probed bucket, ``cell`` = "table:bits".
 
+    A bucket is the side of ``bits`` random hyperplanes a vector lies on. Further probes flip the
+    side of the plane the vector is nearest to, then the next nearest, and so on.
+    """
     schema = StructType([*df.schema.fields, StructField("cell", StringType())])
+    probes = min(probes, bits + 1)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = None
+        weight = 1 << np.arange(bits, dtype=np.int64)
         for batch in batches:
             if not batch.num_rows:
                 continue
             m = to_matrix(batch.column(vector))
             if planes is None:
                 planes = np.random.default_rng(seed).standard_normal((m.shape[1], tables * bits))
-            side = (m @ planes > 0).reshape(len(m), tables, bits)
-            code = (side * (1 << np.arange(bits, dtype=np.int64))).sum(axis=2)
+            margin = (m @ planes).reshape(len(m), tables, bits)
+            code = ((margin > 0) * weight).sum(axis=2)
+            nearest = np.argsort(np.abs(margin), axis=2, kind="stable")
             for t in range(tables):
-                cell = pa.array([f"{t}:{c}" for c in code[:, t]], pa.string())
-                yield pa.RecordBatch.from_arrays([*batch.columns, cell], names=[*batch.schema.names, "cell"])
+                for p in range(probes):
+                    probed = code[:, t] if p == 0 else code[:, t] ^ weight[nearest[:, t, p - 1]]
+                    cell = pa.array([f"{t}:{c}" for c in probed], pa.string())
+                    yield pa.RecordBatch.from_arrays([*batch.columns, cell], names=[*batch.schema.names, "cell"])
 
     return df.mapInArrow(sign, schema)
 
@@ -357,19 +364,20 @@ def hashed_top_k(
     metric: str = "ip",
     tables: int = 16,
     bits: int = 8,
+    probes: int = 4,
     seed: int = 42,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Approximate top-k among vectors sharing a hash bucket with the query in some table.
 
-    More bits mean fewer candidates, more tables a better recall. A candidate met in several
-    tables counts once.
+    More bits mean fewer candidates; more tables, and more buckets a query probes per table, a
+    better recall. A candidate met several times counts once.
     """
     _check(k, metric)
     queries = queries.select("query_id", "query").where("query is not null")
     vectors = vectors.select("id", "embedding").where("embedding is not null")
     near = _blocked(
-        signatures(queries, "query", tables, bits, seed),
+        signatures(queries, "query", tables, bits, seed, probes),
         signatures(vectors, "embedding", tables, bits, seed),
         k,
         metric,
@@ -383,8 +391,6 @@ def hashed_top_k(
 
 def query_table(df: DataFrame, text: str = "q") -> DataFrame:
     """Queries with their text stripped, blank ones dropped."""
-    from ..functions.text import strip_blanks
-
     return df.withColumn(text, strip_blanks(text)).where(F.col(text) != "")
 
 
@@ -404,8 +410,6 @@ def with_metadata(hits: DataFrame, chunks: DataFrame, max_hits: int | None = Non
 
 def result_rows(hits: DataFrame) -> DataFrame:
     """Terminal form: score with four digits, a preview of 160 characters."""
-    from ..functions.text import preview
-
     return hits.select(
         "query_id",
         "rank",
@@ -418,8 +422,6 @@ def result_rows(hits: DataFrame) -> DataFrame:
 
 def result_cards(hits: DataFrame) -> DataFrame:
     """Card form: title, two-digit score, a preview of 400 characters."""
-    from ..functions.text import base_name, preview
-
     origin = F.coalesce(F.nullif("source", F.lit("")), F.nullif("table_name", F.lit("")), F.lit("Result"))
     return hits.select(
         "query_id",
@@ -433,8 +435,6 @@ def result_cards(hits: DataFrame) -> DataFrame:
 
 def result_documents(hits: DataFrame, queries: DataFrame, text: str = "q") -> DataFrame:
     """One nested ``(query_id, query, results)`` per query, results in rank order, none as []."""
-    from ..functions.text import preview
-
     item = F.struct(
         "rank",
         F.struct(

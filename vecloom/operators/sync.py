@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import content_hash
+from ..session import materialise
 from ..sources.store import RowStore, last_wins
 
 
@@ -74,20 +78,18 @@ def vector_quality(vectors: DataFrame, dim: int, column: str = "embedding") -> D
 def sync_store(
     store: RowStore,
     incoming: DataFrame,
-    source: str,
-    encode,
+    sources: Sequence[str],
+    encode: Callable[[DataFrame], DataFrame],
     detect_updates: bool = False,
 ) -> dict[str, int]:
-    """Bring one source's rows in ``store`` in step with ``incoming``.
+    """Bring the rows of ``sources`` in ``store`` in step with ``incoming``.
 
     Only rows to be stored are encoded. ``incoming`` holds the metadata columns with unique
-    ids; ``encode`` adds the vectors. Rows of other sources are left alone.
+    ids; ``encode`` adds the vectors. Rows of other sources are left alone. With
+    ``detect_updates`` rows whose text changed under the same id are stored again.
     """
-    from ..functions.keys import content_hash
-    from ..session import materialise
-
     hashed = incoming.withColumn("hash", content_hash("text"))
-    current = store.read().where(F.col("source") == source).select("id", content_hash("text").alias("hash"))
+    current = store.read().where(F.col("source").isin(list(sources))).select("id", content_hash("text").alias("hash"))
     diff = materialise(snapshot_diff(hashed, current), "diff")
     counts = sync_report(diff).first().asDict()
     if not detect_updates:
