@@ -138,8 +138,7 @@ def tuples(insert_rows: DataFrame) -> DataFrame:
             rows: list[tuple] = []
             for *where, vals in pdf.itertuples(index=False):
                 for no, cells in enumerate(value_tuples(vals)):
-                    shown = [html_text(c) if "<" in c or "&" in c else c for c in map(_unquoted, cells)]
-                    rows.append((*where, no, cells, shown))
+                    rows.append((*where, no, cells, [_shown(_unquoted(c)) for c in cells]))
                     if len(rows) >= TUPLES_PER_BATCH:
                         yield pd.DataFrame(rows, columns=[*keep, "tuple_no", "cells", "texts"])
                         rows = []
@@ -152,6 +151,10 @@ def tuples(insert_rows: DataFrame) -> DataFrame:
     return insert_rows.select(*keep, "vals").mapInPandas(spread, schema)
 
 
+def _shown(raw: str) -> str:
+    return html_text(raw) if "<" in raw or "&" in raw else raw
+
+
 def _unquoted(cell: str) -> str:
     cell = cell.strip()
     return cell[1:-1] if len(cell) >= 2 and cell[0] == cell[-1] == "'" else cell
@@ -186,10 +189,31 @@ def row_texts(tuple_rows: DataFrame, min_text_len: int = MIN_TEXT_LEN) -> DataFr
 
 
 def text_records(statements: DataFrame, min_text_len: int = MIN_TEXT_LEN) -> DataFrame:
-    """Everything worth searching in a dump: comments and row texts."""
-    return comments(statements, min_text_len).unionByName(
-        row_texts(tuples(inserts(statements)), min_text_len)
-    )
+    """Everything worth searching in a dump, comments and row texts, in one pass over it."""
+    names = ["source", "table_name", "cols", "cells", "texts"]
+
+    def both(body: str) -> Iterator[tuple]:
+        if "--" in body or "/*" in body:
+            for c in comment_texts(body):
+                yield None, None, None, [_shown(c)]
+        if "insert" in body.lower():
+            for table_name, cols, vals in insert_parts(body):
+                for cells in value_tuples(vals):
+                    yield table_name, cols, cells, [_shown(_unquoted(c)) for c in cells]
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows: list[tuple] = []
+            for source, body in pdf.itertuples(index=False):
+                for found in both(body):
+                    rows.append((source, *found))
+                    if len(rows) >= TUPLES_PER_BATCH:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows = []
+            yield pd.DataFrame(rows, columns=names)
+
+    schema = "source string, table_name string, cols string, cells array<string>, texts array<string>"
+    return row_texts(statements.select("source", "body").mapInPandas(spread, schema), min_text_len)
 
 
 def record_counts(records: DataFrame) -> DataFrame:

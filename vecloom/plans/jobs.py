@@ -22,7 +22,11 @@ CSV_TABLE = "csv"
 
 
 def with_vectors(rows: DataFrame, make_encoder: Callable[[], Encoder] = HashingEncoder) -> DataFrame:
-    return rows.withColumn("embedding", encode_column("text", make_encoder))
+    """Rows with vectors. Encoding costs far more than moving a text, so rows are first dealt out evenly;
+    left alone, small shuffle partitions would be merged and encoded by few tasks."""
+    spark = rows.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return rows.repartition(tasks, "id").withColumn("embedding", encode_column("text", make_encoder))
 
 
 def csv_rows(

@@ -16,7 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 CUT = ";\n"
+MAX_BROADCAST_FILES = 100_000
 
 # Lexical states at a cut: plain code, inside a string, inside a block comment.
 CODE, STRING, BLOCK = 0, 1, 2
@@ -64,6 +67,7 @@ def _state_udf(start: int):
 def scan_statements(spark: SparkSession, paths: str | Sequence[str], cut: str = CUT) -> DataFrame:
     """``(source, block, seq, body)``: pieces of dump text that start and end in plain code.
 
+    One pass looks for files with such a cut; where there is none, the scan is all there is.
     Dumps with Windows line ends pass ``cut=";\\r\\n"``.
     """
     raw = spark.read.text(list(paths) if not isinstance(paths, str) else paths, lineSep=cut)
@@ -76,13 +80,13 @@ def scan_statements(spark: SparkSession, paths: str | Sequence[str], cut: str =
         F.monotonically_increasing_id().alias("seq"),
         text.alias("body"),
     )
-    cut_files = (
-        pieces.withColumn("open", _state_udf(CODE)("body") != CODE)
-        .groupBy("source")
-        .agg(F.max("open").alias("open"))
-        .where("open")
-        .select("source")
-    )
+    opened = pieces.withColumn("open", _state_udf(CODE)("body") != CODE).groupBy("source").agg(F.max("open").alias("open"))
+    cut_files = materialise(opened.where("open").select("source"), "cut-files")
+    if cut_files.isEmpty():
+        return pieces
+    if len(raw.inputFiles()) <= MAX_BROADCAST_FILES:
+        # at most one path per input file: text is filtered where it is read
+        cut_files = F.broadcast(cut_files)
     whole = pieces.join(cut_files, "source", "left_anti")
     return whole.unionByName(_glue(pieces.join(cut_files, "source", "left_semi"), cut))
 

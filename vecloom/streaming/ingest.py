@@ -21,6 +21,7 @@ def landed_files(spark: SparkSession, landing: str, glob: str = "*", max_files:
     """
     files = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", max_files)
