@@ -7,7 +7,7 @@ from hashlib import md5
 from typing import Protocol
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -76,17 +76,20 @@ def encode_column(
     Texts reach the encoder ``batch_texts`` at a time. Null texts give null vectors.
     """
 
-    @F.pandas_udf("array<float>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = make_encoder()
-        for s in batches:
-            present = s.dropna()
-            rows: list[np.ndarray] = []
-            for start in range(0, len(present), batch_texts):
-                matrix = np.asarray(encoder.encode(list(present.iloc[start : start + batch_texts])), dtype=np.float32)
+        for column in batches:
+            texts = column.drop_null().to_pylist()
+            parts = [np.empty((0, encoder.dimension), np.float32)]
+            for start in range(0, len(texts), batch_texts):
+                matrix = np.asarray(encoder.encode(texts[start : start + batch_texts]), dtype=np.float32)
                 if matrix.ndim != 2 or matrix.shape[1] != encoder.dimension:
                     raise ValueError(f"encoder gave shape {matrix.shape}, expected (n, {encoder.dimension})")
-                rows.extend(matrix)
-            yield pd.Series(rows, index=present.index, dtype=object).reindex(s.index)
+                parts.append(matrix)
+            present = column.is_valid().to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(present) * encoder.dimension]).astype(np.int32)
+            flat = pa.array(np.concatenate(parts).ravel(), pa.float32())
+            yield pa.ListArray.from_arrays(pa.array(ends), flat, mask=pa.array(~present))
 
     return encode(_col(text))

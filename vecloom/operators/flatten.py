@@ -85,16 +85,19 @@ def _leaf_text(v: Column) -> Column:
 
 
 def depth(df: DataFrame, column: str = "v") -> int:
-    """Deepest nesting of any record: one aggregate over the records' own schemas."""
-    shape = F.regexp_replace(F.schema_of_variant(F.col(column)), r"`(?:[^`]|``)*`", "")
-    marks = F.split(F.regexp_replace(shape, "[^<>]", ""), "")
+    """Deepest nesting of any record, counted on the brackets of its JSON text; one aggregate.
+
+    The merged schema of a record would not do: it stops at lists of mixed kinds.
+    """
+    unescaped = F.regexp_replace(F.to_json(F.col(column)), r"\\.", "")
+    brackets = F.regexp_replace(F.regexp_replace(unescaped, '"[^"]*"', ""), r"[^\[\]{}]", "")
     zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
     def add(acc: Column, m: Column) -> Column:
-        now = acc["now"] + F.when(m == "<", 1).when(m == ">", -1).otherwise(0)
+        now = acc["now"] + F.when(m.isin("[", "{"), 1).when(m.isin("]", "}"), -1).otherwise(0)
         return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
 
-    most = F.aggregate(marks, zero, add, lambda acc: acc["most"])
+    most = F.aggregate(F.split(brackets, ""), zero, add, lambda acc: acc["most"])
     return df.agg(F.max(most)).first()[0] or 0
 
 

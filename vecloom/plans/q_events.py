@@ -206,14 +206,14 @@ def stream_match(spark, sf):
     "stream_ingest",
     """SELECT sha1(doc_id::VARCHAR) AS id, 'docs' AS source, md5(replace(text, ' | ', ' ')) AS text_md5 FROM documents
     WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1) AND length(replace(text, ' | ', ' ')) >= 10
-    UNION ALL SELECT sha1(page_id::VARCHAR), 'pages', md5(url) FROM pages WHERE length(url) >= 10""",
+    UNION ALL SELECT sha1(url), 'pages', md5(url) FROM pages WHERE length(url) >= 10""",
 )
 def stream_ingest(spark, sf):
     """Snapshots of two sources land; the store ends up with the newest of each."""
     landing = scratch(spark, "landing")
     snapshots = [
         (f"{landing}/docs/0001", stored_documents(spark, sf).select("doc_id", "text")),
-        (f"{landing}/pages/0001", table(spark, sf, "pages").select("page_id", F.col("url").alias("text"))),
+        (f"{landing}/pages/0001", table(spark, sf, "pages").select("url", F.col("url").alias("text"))),
         (f"{landing}/docs/0002", incoming_documents(spark, sf).select("doc_id", "text")),
     ]
     store_path, checkpoint = scratch(spark, "store"), scratch(spark, "ckpt")
