@@ -11,8 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Java's Unicode \s leaves out the four ASCII separators that Python counts as blank.
-BLANK = r"[\s\x1c-\x1f]"
+# The characters Python counts as blank, in a regex class and as a string. Java's \s
+# covers neither all of them nor, with its Unicode flag, the four ASCII separators.
+BLANK = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 TEXT_SEP = " \n"
 MIN_TEXT_LEN = 10
@@ -53,12 +55,12 @@ def quoted(name: str) -> Column:
 
 def strip_blanks(c: Column | str) -> Column:
     """Unicode strip of both ends."""
-    return F.regexp_replace(_col(c), rf"(?U)^{BLANK}+|{BLANK}+\z", "")
+    return F.btrim(_col(c), F.lit(BLANKS))
 
 
 def collapse_blanks(c: Column | str) -> Column:
     """Runs of blanks become one space, none at the ends."""
-    return F.trim(F.regexp_replace(_col(c), rf"(?U){BLANK}+", " "))
+    return F.trim(F.regexp_replace(_col(c), BLANK + "+", " "))
 
 
 def build_text(columns: Sequence[Column | str], sep: str = TEXT_SEP) -> Column:
@@ -86,7 +88,7 @@ def decode_entities(c: Column | str) -> Column:
     """
     c = _col(c)
     for entity, char in NAMED_ENTITIES.items():
-        c = F.regexp_replace(c, entity, char.replace("$", r"\$"))
+        c = F.replace(c, F.lit(entity), F.lit(char))
 
     def piece(part: Column, i: Column) -> Column:
         dec = F.regexp_extract(part, r"^([0-9]{1,7});", 1)
@@ -100,9 +102,9 @@ def decode_entities(c: Column | str) -> Column:
         rest = F.regexp_replace(part, r"^[xX]?[0-9a-fA-F]+;", "")
         return F.when(i == 0, part).when(valid, F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), part))
 
-    numeric = F.array_join(F.transform(F.split(c, "&#"), piece), "")
-    c = F.when(F.contains(c, F.lit("&#")), numeric).otherwise(c)
-    return F.regexp_replace(c, "&amp;", "&")
+    # text without "&#" is one piece, which stays as it is
+    c = F.array_join(F.transform(F.split(c, "&#"), piece), "")
+    return F.replace(c, F.lit("&amp;"), F.lit("&"))
 
 
 def clean_text_native(c: Column | str) -> Column:
@@ -174,6 +176,15 @@ def clean_text(c: Column | str) -> Column:
     return F.coalesce(collapse_blanks(F.coalesce(_html_text_udf(marked), c)), F.lit(""))
 
 
+def kept(value: Column, keep) -> Column:
+    """``value`` where ``keep(value)`` holds, as a generator: rows without it go.
+
+    A filter over a projected expression is pushed below the projection and computes the
+    expression twice; a generator computes it once.
+    """
+    return F.explode(F.filter(F.array(value), keep))
+
+
 def preview(c: Column | str, width: int = 160, tail: str = "…") -> Column:
     """First ``width`` characters, with ``tail`` when something was cut."""
     c = F.coalesce(_col(c), F.lit(""))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import MIN_TEXT_LEN, TEXT_SEP, clean_text, collapse_blanks, html_text, looks_textual, strip_blanks
+from ..functions.text import MIN_TEXT_LEN, TEXT_SEP, clean_text, collapse_blanks, html_text, kept, looks_textual, strip_blanks
 from ..sources.sqldump import LEX
 
 RECORD_SCHEMA = "source string, table_name string, row_id string, text string"
@@ -103,8 +103,8 @@ def comments(statements: DataFrame, min_text_len: int = MIN_TEXT_LEN) -> DataFra
             yield out
 
     raw = statements.select("source", "body").mapInPandas(texts, "source string, text string")
-    cleaned = raw.select("source", clean_text("text").alias("text"))
-    return cleaned.where(textual("text", min_text_len)).select(
+    cleaned = raw.select("source", kept(clean_text("text"), lambda t: textual(t, min_text_len)).alias("text"))
+    return cleaned.select(
         "source", F.lit(None).cast("string").alias("table_name"), F.lit(None).cast("string").alias("row_id"), "text"
     )
 
@@ -184,8 +184,8 @@ def row_texts(tuple_rows: DataFrame, min_text_len: int = MIN_TEXT_LEN) -> DataFr
     """Text records of VALUES groups; groups without a textual cell are dropped."""
     text = text_of_cells(F.transform("texts", collapse_blanks), min_text_len)
     return tuple_rows.select(
-        "source", "table_name", row_id_of("cols", "cells").alias("row_id"), text.alias("text")
-    ).where("text <> ''")
+        "source", "table_name", row_id_of("cols", "cells").alias("row_id"), kept(text, lambda t: t != "").alias("text")
+    )
 
 
 def text_records(statements: DataFrame, min_text_len: int = MIN_TEXT_LEN) -> DataFrame:

@@ -35,17 +35,15 @@ def float_text(d: Column) -> Column:
     return F.coalesce(special, F.when(in_plain_range, plain).otherwise(scientific))
 
 
-def scalar_text(v: Column) -> Column:
-    """Text of a scalar VARIANT; JSON null gives null."""
-    kind = F.schema_of_variant(v)
-    as_text = F.try_variant_get(v, "$", "string")
+def scalar_text(v: Column, kind: Column) -> Column:
+    """Text of a scalar VARIANT of the given kind; JSON null gives null."""
     # whole numbers are BIGINT up to 18 digits, so a short DECIMAL without a fraction was "1.0"
     is_float = (kind == "DOUBLE") | kind.rlike(r"^DECIMAL\((\d+,[1-9]\d*|([1-9]|1[0-8]),0)\)$")
-    fraction = F.when(is_float, F.try_variant_get(v, "$", "double"))
-    flag = F.initcap(as_text)
+    as_text = F.try_variant_get(v, "$", "string")
     return (
-        F.when(kind == "BOOLEAN", flag)
-        .when(fraction.isNotNull(), float_text(fraction))
+        F.when(kind.isin("STRING", "BIGINT"), as_text)
+        .when(kind == "BOOLEAN", F.initcap(as_text))
+        .when(is_float, float_text(F.try_variant_get(v, "$", "double")))
         .otherwise(as_text)
     )
 
@@ -58,30 +56,35 @@ def _list(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
 
 
-def _nested(v: Column) -> Column:
-    return _object(v).isNotNull() | _list(v).isNotNull()
+def _entry(path: Column, v: Column) -> Column:
+    """An entry carries its kind, so that it is looked at once and not at every level."""
+    return F.struct(path.alias("path"), v.alias("v"), F.schema_of_variant(v).alias("kind"))
 
 
-def _entry(path: Column, v: Column) -> Column:
-    return F.struct(path.alias("path"), v.alias("v"))
+def _nested(kind: Column) -> Column:
+    return kind.startswith("OBJECT") | kind.startswith("ARRAY")
 
 
 def _children(e: Column, sep: str) -> Column:
     """Entries one level below ``e``; a leaf stays as it is."""
-    path, v = e["path"], e["v"]
-    items = _list(v)
+    path, v, kind = e["path"], e["v"], e["kind"]
     below = F.transform(
         F.map_entries(_object(v)),
         lambda kv: _entry(F.when(path == "", kv["key"]).otherwise(F.concat(path, F.lit(sep), kv["key"])), kv["value"]),
     )
-    indexed = F.transform(items, lambda x, i: _entry(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), x))
-    deep = F.exists(items, lambda x: F.coalesce(_nested(x), F.lit(False)))
-    return F.when(below.isNotNull(), below).when(deep, indexed).otherwise(F.array(_entry(path, v)))
+    indexed = F.transform(_list(v), lambda x, i: _entry(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), x))
+    # a list of mixed kinds has to be looked into
+    mixed = (kind == "ARRAY<VARIANT>") & F.exists(_list(v), lambda x: _nested(F.schema_of_variant(x)))
+    deep = kind.startswith("ARRAY<OBJECT") | kind.startswith("ARRAY<ARRAY") | mixed
+    return F.when(kind.startswith("OBJECT"), below).when(deep, indexed).otherwise(F.array(e))
+
 
+def _leaf_text(v: Column, kind: Column) -> Column:
+    def item(x: Column) -> Column:
+        return F.coalesce(scalar_text(x, F.schema_of_variant(x)), F.lit("None"))
 
-def _leaf_text(v: Column) -> Column:
-    joined = F.array_join(F.transform(_list(v), lambda x: F.coalesce(scalar_text(x), F.lit("None"))), ", ")
-    return F.when(_list(v).isNotNull(), joined).otherwise(scalar_text(v))
+    joined = F.array_join(F.transform(_list(v), item), ", ")
+    return F.when(kind.startswith("ARRAY"), joined).otherwise(scalar_text(v, kind))
 
 
 def depth(df: DataFrame, column: str = "v") -> int:
@@ -107,8 +110,8 @@ def entries(column: str, levels: int, sep: str = ".") -> Column:
     for _ in range(levels):
         flat = F.flatten(F.transform(flat, lambda e: _children(e, sep)))
     # an object still here has no keys
-    flat = F.filter(flat, lambda e: _object(e["v"]).isNull())
-    return F.transform(flat, lambda e: F.struct(e["path"].alias("path"), _leaf_text(e["v"]).alias("value")))
+    flat = F.filter(flat, lambda e: ~e["kind"].startswith("OBJECT"))
+    return F.transform(flat, lambda e: F.struct(e["path"].alias("path"), _leaf_text(e["v"], e["kind"]).alias("value")))
 
 
 def flatten_long(df: DataFrame, key: str = "rec_id", column: str = "v", levels: int | None = None, sep: str = ".") -> DataFrame:

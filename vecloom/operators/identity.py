@@ -24,9 +24,9 @@ def match_gallery(probes: DataFrame, gallery: DataFrame, threshold: float = MATC
     to the lower user id. A gallery of checked size is shipped to the probes, which are then
     matched where they lie, in batches and streams alike; a larger one is matched block by block.
     """
-    few = small_matrix(gallery, "user_id", "embedding")
+    few = small_matrix(gallery, "user_id", "embedding", "name")
     if few is not None:
-        return _match_in_place(probes, gallery, few, threshold)
+        return _match_in_place(probes, few, threshold)
     best = top_k(
         probes.select(F.col("probe_id").alias("query_id"), F.col("embedding").alias("query")),
         gallery.select(F.col("user_id").alias("id"), "embedding"),
@@ -43,11 +43,10 @@ def match_gallery(probes: DataFrame, gallery: DataFrame, threshold: float = MATC
     )
 
 
-def _match_in_place(probes: DataFrame, gallery: DataFrame, few: Matrix, threshold: float) -> DataFrame:
-    names = dict(gallery.select("user_id", "name").toArrow().to_pandas().itertuples(index=False))
+def _match_in_place(probes: DataFrame, few: Matrix, threshold: float) -> DataFrame:
     order = np.argsort(few.keys.to_numpy(zero_copy_only=False), kind="stable")
     ids = few.keys.to_numpy(zero_copy_only=False)[order]
-    shared = probes.sparkSession.sparkContext.broadcast((ids, few.rows[order], [names.get(i) for i in ids.tolist()]))
+    shared = probes.sparkSession.sparkContext.broadcast((ids, few.rows[order], [few.extra["name"][i] for i in order]))
     kind = probes.schema["probe_id"].dataType.simpleString()
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

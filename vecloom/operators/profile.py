@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.keys import content_hash, row_id
-from ..functions.text import build_text, quoted
+from ..functions.text import build_text, kept, quoted
 
 # Columns taken first when they qualify, and the default key columns.
 PREFERRED_TEXT = (
@@ -116,8 +116,8 @@ def keyed_texts(
     """``(id, text, hash)`` of rows with enough text; short rows go before ids are made."""
     texts = df.select(
         *[quoted(c) for c in dict.fromkeys([*key_columns, *keep])],
-        build_text([quoted(c) for c in text_columns]).alias("__text__"),
-    ).where(F.length("__text__") >= min_text_len)
+        kept(build_text([quoted(c) for c in text_columns]), lambda t: F.length(t) >= min_text_len).alias("__text__"),
+    )
     return texts.select(
         row_id([quoted(c) for c in key_columns]).alias("id"),
         F.col("__text__").alias("text"),

@@ -40,6 +40,7 @@ class Matrix:
 
     keys: pa.Array
     rows: np.ndarray
+    extra: dict[str, list]
 
 
 def _check(k: int, metric: str) -> None:
@@ -125,14 +126,17 @@ def _hit_schema(queries: DataFrame, vectors: DataFrame) -> tuple[pa.Schema, str]
     return arrow, f"query_id {q.simpleString()}, id {v.simpleString()}, score double"
 
 
-def small_matrix(df: DataFrame, key: str, vector: str) -> Matrix | None:
+def small_matrix(df: DataFrame, key: str, vector: str, *extra: str) -> Matrix | None:
     """``df`` as a matrix when it has at most ``MAX_BROADCAST_ROWS`` rows and
-    ``MAX_BROADCAST_FLOATS`` numbers, else None. At most that much reaches the driver."""
-    size = df.select(F.size(vector).alias("n")).limit(MAX_BROADCAST_ROWS + 1).agg(F.count("*"), F.sum("n")).first()
-    if size[0] > MAX_BROADCAST_ROWS or (size[1] or 0) > MAX_BROADCAST_FLOATS:
+    ``MAX_BROADCAST_FLOATS`` numbers, else None. No more rows than that, plus one, reach the
+    driver. ``extra`` columns are kept beside the keys."""
+    got = df.select(key, F.col(vector).cast("array<double>").alias("v"), *extra).limit(MAX_BROADCAST_ROWS + 1).toArrow()
+    if got.num_rows > MAX_BROADCAST_ROWS:
         return None
-    got = df.select(F.col(key), F.col(vector).cast("array<double>")).toArrow()
-    return Matrix(got.column(0).combine_chunks(), to_matrix(got.column(1)))
+    rows = to_matrix(got.column(1))
+    if rows.size > MAX_BROADCAST_FLOATS:
+        return None
+    return Matrix(got.column(0).combine_chunks(), rows, {name: got.column(name).to_pylist() for name in extra})
 
 
 def top_k(

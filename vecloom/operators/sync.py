@@ -88,7 +88,9 @@ def sync_store(
     ids; ``encode`` adds the vectors. Rows of other sources are left alone. With
     ``detect_updates`` rows whose text changed under the same id are stored again.
     """
-    hashed = incoming.withColumn("hash", content_hash("text"))
+    # read, keyed and made unique once, for the comparison as well as for the rows to store
+    incoming = materialise(incoming, "incoming")
+    hashed = incoming.select("id", content_hash("text").alias("hash"))
     current = store.read().where(F.col("source").isin(list(sources))).select("id", content_hash("text").alias("hash"))
     diff = materialise(snapshot_diff(hashed, current), "diff")
     counts = sync_report(diff).first().asDict()

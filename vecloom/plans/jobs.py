@@ -134,7 +134,7 @@ def search_texts(
         hits = index.search(asked, k, nprobe, metric)
     else:
         hits = search.top_k(asked, rows.select("id", "embedding"), k, metric)
-    return search.with_metadata(hits, rows)
+    return search.with_metadata(hits, rows, max_hits=asked.count() * k)
 
 
 def flatten_json(spark: SparkSession, paths: str | Sequence[str], out: str | None = None, lines: bool = False) -> DataFrame:

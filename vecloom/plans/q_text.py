@@ -143,8 +143,8 @@ def build_text(spark, sf):
     f"SELECT doc_id, length({sql_text('text')}) AS n FROM documents WHERE length({sql_text('text')}) >= 10",
 )
 def min_len_filter(spark, sf):
-    built = table(spark, sf, "documents").select("doc_id", text.build_text(["text"]).alias("t"))
-    return built.where(F.length("t") >= text.MIN_TEXT_LEN).select("doc_id", F.length("t").cast("bigint").alias("n"))
+    found = text.kept(text.build_text(["text"]), lambda t: F.length(t) >= text.MIN_TEXT_LEN)
+    return table(spark, sf, "documents").select("doc_id", found.alias("t")).select("doc_id", F.length("t").cast("bigint").alias("n"))
 
 
 @query(
@@ -220,8 +220,8 @@ def row_text_cells(spark, sf):
     from ..operators.extract import text_of_cells
 
     cells = F.array(text.clean_text("text"), text.clean_text(F.concat(F.lit("taken from "), "source")))
-    docs = table(spark, sf, "documents").select("doc_id", text_of_cells(cells).alias("t"))
-    return docs.where("t <> ''").select("doc_id", F.md5("t").alias("text_md5"))
+    found = text.kept(text_of_cells(cells), lambda t: t != "")
+    return table(spark, sf, "documents").select("doc_id", found.alias("t")).select("doc_id", F.md5("t").alias("text_md5"))
 
 
 def sql_chunks(source: str, n_max: int, overlap: int) -> str:
