@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from vecloom.operators import profile, sync
 from vecloom.plans import jobs
-from vecloom.sources.csv import NA_TOKENS, ORDINAL, scan_csv
+from vecloom.sources.csv import NA_TOKENS, ORDINAL, quoted_after, scan_csv
 from vecloom.sources.store import RowStore, last_wins
 
 HEAD = "index,_id,_source.file_name_text,_source.customer,num,flag,short\n"
@@ -52,6 +52,53 @@ def test_scan_csv_null_tokens_and_quotes(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize(
+    "line, start, end",
+    [
+        ('a,b', False, False),
+        ('a,"b', False, True),
+        ('a,"b""', False, True),
+        ('a,"b""",c', False, False),
+        ('5" pipe,c', False, False),
+        ('5" pipe,"c', False, True),
+        ('rest",5" pipe', True, False),
+        ('rest"" of it', True, True),
+        ('rest","next', True, True),
+        ('"x" y,"z"', False, False),
+        ('', False, False),
+        ('', True, True),
+        ('"",""', False, False),
+        ('"a,b', False, True),
+    ],
+)
+def test_lines_inside_quoted_cells(line, start, end):
+    assert quoted_after(line, start) is end
+
+
+def test_csv_over_tiny_splits(spark, tmp_path):
+    """Records with line breaks, stray quotes and blank lines, one file over many splits."""
+    lines, want = ["id,text,note"], []
+    for i in range(150):
+        text = [f"plain {i}", f"two\nlines, {i}", f'say "{i}"\n\nand "more"', f'{i}" wide'][i % 4]
+        raw = text if i % 4 in (0, 3) else '"' + text.replace('"', '""') + '"'
+        lines.append(f"{i},{raw},end")
+        if i % 10 == 0:
+            lines.append("")
+        want.append((str(i), text, "end"))
+    write(tmp_path / "a.csv", "\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "600")
+    try:
+        write(tmp_path / "small.csv", "id,text,note\n0,small file,end\n")
+        df = scan_csv(spark, str(tmp_path), with_origin=True, whole_file_bytes=1000)
+        assert df.where("text = 'small file'").count() == 1
+        df = df.where("text <> 'small file'")
+        assert df.select(f"{ORDINAL}.offset").distinct().count() > 3
+        assert [tuple(r)[:3] for r in df.orderBy(ORDINAL).collect()] == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_every_null_token(spark, tmp_path):
     body = "k,v\n" + "".join(f'{i},"{t}"\n' for i, t in enumerate(NA_TOKENS)) + "x,nah\n"
     df = scan_csv(spark, write(tmp_path / "a.csv", body))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions.text import base_name, preview, strip_blanks
+from ..session import materialise
 
 METRICS = ("ip", "l2", "cosine")
 SCORE_DIGITS = 9
@@ -222,7 +223,8 @@ def _blocked(queries: DataFrame, vectors: DataFrame, k: int, metric: str, block_
         n = F.ceil(F.count("*") / F.lit(block_rows)).cast("int")
         return df.groupBy("cell").agg(n.alias(name))
 
-    grid = blocks(queries, "nq").join(blocks(vectors, "nv"), "cell")
+    # one row per probed cell, known in size once written: Spark broadcasts it where it is small
+    grid = materialise(blocks(queries, "nq").join(blocks(vectors, "nv"), "cell"), "grid")
 
     def spread(df: DataFrame, key: str, own: str, other: str, own_block: str, other_block: str) -> DataFrame:
         cut = df.join(grid, "cell").withColumn(own_block, F.pmod(F.xxhash64(key), F.col(own)).cast("int"))
@@ -301,7 +303,9 @@ class CellIndex:
         ).write.mode("overwrite").parquet(f"{path}/centroids")
         rows = vectors.select("id", "embedding").where("embedding is not null")
         placed = nearest_cells(rows, "embedding", centroids, 1).withColumn("cell", F.element_at("cells", 1))
-        placed.drop("cells").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/cells")
+        # rebalanced by cell: few files per cell, and a crowded cell over several tasks
+        placed = placed.drop("cells").hint("rebalance", F.col("cell"))
+        placed.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/cells")
         return CellIndex(spark, path)
 
     def search(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import quoted
+from .pieces import read_pieces, whole_pieces
 
 # Cell texts that mean "missing" (the pandas default set).
 NA_TOKENS = (
@@ -32,41 +35,83 @@ NA_TOKENS = (
     "null",
 )
 
+WHOLE_FILE_BYTES = 256 * 1024 * 1024
 ORDINAL = "__ordinal__"
 SOURCE = "__source__"
 
 
+_REST_OF_CELL = re.compile(r'[^"]*(?:""[^"]*)*(?P<close>"|\Z)[^,]*(?:,|\Z)')
+_CELL = re.compile(r'"[^"]*(?:""[^"]*)*(?P<close>"|\Z)[^,]*(?:,|\Z)|[^,]*(?:,|\Z)')
+
+
+def quoted_after(line: str, quoted: bool = False) -> bool:
+    """Whether ``line`` ends inside a quoted cell. A quote counts only where a cell begins with it."""
+    at = 0
+    if quoted:
+        m = _REST_OF_CELL.match(line)
+        if m["close"] == "":
+            return True
+        at = m.end()
+    return any(m["close"] == "" for m in _CELL.finditer(line, at))
+
+
+def _quoted_after(quoted: bool) -> Column:
+    @F.pandas_udf("int")
+    def after(s: pd.Series) -> pd.Series:
+        return s.map(lambda line: int(quoted_after(line, quoted)), na_action="ignore").astype("Int64")
+
+    # lines without a quote stay in the state they start in and never reach Python
+    return F.coalesce(after(F.when(F.contains("body", F.lit('"')), F.col("body"))), F.lit(int(quoted)))
+
+
 def scan_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
     na_tokens: Sequence[str] = NA_TOKENS,
-    multiline: bool = True,
     with_origin: bool = False,
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
-    """All columns as STRING, ``na_tokens`` as null.
+    """All columns as STRING, ``na_tokens`` as null; cells may hold quoted line breaks.
 
-    ``multiline`` allows quoted line breaks and makes a file one task; switch it off for huge
-    files without such cells, which are then split. ``with_origin`` adds the file path and an
-    ordinal struct (file, offset, running id) that restores file order.
+    Files up to ``whole_file_bytes`` are parsed whole, each in a task. Larger ones are split line by line,
+    and lines inside a quoted cell glued to the line their record begins on, so that no file is too large
+    for its task. ``with_origin`` adds the file path and an ordinal struct that restores file order.
     """
-    df = (
-        spark.read.option("header", True)
-        .option("multiLine", multiline)
-        .option("escape", '"')
-        .option("inferSchema", False)
-        .csv(list(paths) if not isinstance(paths, str) else paths)
-    )
-    names = df.columns
-    cells = [F.when(~quoted(n).isin(list(na_tokens)), quoted(n)).alias(n) for n in names]
-    if not with_origin:
-        return df.select(*cells)
-    origin = F.col("_metadata.file_path")
-    ordinal = F.struct(
-        origin.alias("file"),
-        F.col("_metadata.file_block_start").alias("offset"),
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    parser = {"escape": '"', "mode": "PERMISSIVE"}
+    whole = spark.read.options(header=True, multiLine=True, inferSchema=False, **parser).csv(paths)
+    names = whole.columns
+    slots = [f"c{i}" for i in range(len(names))]
+    # a filter on the file size is applied to the file list, before anything is read
+    size = F.col("_metadata.file_size")
+    rows = whole.where(size <= whole_file_bytes).select(
+        F.col("_metadata.file_path").alias("source"),
+        F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
+        *[quoted(n).alias(s) for n, s in zip(names, slots)],
     )
-    return df.select(*cells, origin.alias(SOURCE), ordinal.alias(ORDINAL))
+    files = spark.read.format("binaryFile").load(paths).select("path", "length")
+    if not files.where(F.col("length") > whole_file_bytes).isEmpty():
+        rows = rows.unionByName(_split_rows(spark, paths, names, slots, parser, whole_file_bytes))
+    cells = [F.when(~F.col(s).isin(list(na_tokens)), F.col(s)).alias(n) for s, n in zip(slots, names)]
+    if not with_origin:
+        return rows.select(*cells)
+    ordinal = F.struct(F.col("source").alias("file"), F.col("block").alias("offset"), "seq")
+    return rows.select(*cells, F.col("source").alias(SOURCE), ordinal.alias(ORDINAL))
+
+
+def _split_rows(spark, paths, names, slots, parser, whole_file_bytes) -> DataFrame:
+    """Rows of the large files; lines equal to the header are left out."""
+    lines = read_pieces(spark, paths, "\n", F.col("_metadata.file_size") > whole_file_bytes)
+    lines = lines.withColumn("body", F.regexp_replace("body", "\r$", ""))
+    records = whole_pieces(lines, _quoted_after(False) == 1, lambda: [_quoted_after(False), _quoted_after(True)], "\n")
+    # one parse per record, as a generator so that it is not repeated for each column
+    row = F.from_csv("body", ", ".join(f"{s} string" for s in slots), parser)
+    parsed = records.where("body <> ''").select("source", "block", "seq", F.inline(F.array(row)))
+    is_header = F.lit(True)
+    for slot, name in zip(slots, names):
+        is_header = is_header & F.col(slot).eqNullSafe(F.lit(name))
+    return parsed.where(~is_header)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

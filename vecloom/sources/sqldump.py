@@ -1,9 +1,7 @@
 """SQL-dump scan: statements in parallel, also out of one huge file.
 
-Files are split on ``;`` + newline. A cut inside a string or a block comment is found by
-lexing every piece and mended by gluing the piece to the one before it; whether a piece
-starts inside something is a prefix composition over pieces, done per file split first and
-over the splits second, so no file is ever one task's work.
+Files are split on ``;`` + newline; a piece that starts inside a string or a block comment is glued to the
+one before it.
 """
 
 from __future__ import annotations
@@ -13,13 +11,11 @@ from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from .pieces import read_pieces, whole_pieces
 
 CUT = ";\n"
-MAX_BROADCAST_FILES = 100_000
 
 # Lexical states at a cut: plain code, inside a string, inside a block comment.
 CODE, STRING, BLOCK = 0, 1, 2
@@ -67,94 +63,9 @@ def _state_udf(start: int):
 def scan_statements(spark: SparkSession, paths: str | Sequence[str], cut: str = CUT) -> DataFrame:
     """``(source, block, seq, body)``: pieces of dump text that start and end in plain code.
 
-    One pass looks for files with such a cut; where there is none, the scan is all there is.
-    Dumps with Windows line ends pass ``cut=";\\r\\n"``.
+    One pass looks for files with a cut inside a string or comment; where there is none, the scan
+    is all there is. Dumps with Windows line ends pass ``cut=";\\r\\n"``.
     """
-    raw = spark.read.text(list(paths) if not isinstance(paths, str) else paths, lineSep=cut)
-    # undecodable bytes are dropped
-    valid = F.regexp_replace(F.make_valid_utf8("value"), "\ufffd", "")
-    text = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(valid)
-    pieces = raw.select(
-        F.col("_metadata.file_path").alias("source"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("seq"),
-        text.alias("body"),
-    )
-    opened = pieces.withColumn("open", _state_udf(CODE)("body") != CODE).groupBy("source").agg(F.max("open").alias("open"))
-    cut_files = materialise(opened.where("open").select("source"), "cut-files")
-    if cut_files.isEmpty():
-        return pieces
-    if len(raw.inputFiles()) <= MAX_BROADCAST_FILES:
-        # at most one path per input file: text is filtered where it is read
-        cut_files = F.broadcast(cut_files)
-    whole = pieces.join(cut_files, "source", "left_anti")
-    return whole.unionByName(_glue(pieces.join(cut_files, "source", "left_semi"), cut))
-
-
-def _fold(steps: pd.DataFrame, state: int) -> list[int]:
-    """State before each step, plus the state after the last one."""
-    states = [state]
-    for row in steps[["s0", "s1", "s2"]].to_numpy():
-        states.append(int(row[states[-1]]))
-    return states
-
-
-def _through(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One split as a single step."""
-    pdf = pdf.sort_values("seq")
-    ends = [_fold(pdf, s)[-1] for s in (CODE, STRING, BLOCK)]
-    return pd.DataFrame([[pdf["source"].iloc[0], pdf["block"].iloc[0], *ends]], columns=["source", "block", "s0", "s1", "s2"])
-
-
-def _split_starts(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("block")
-    return pdf[["source", "block"]].assign(start=_fold(pdf, CODE)[:-1])
-
-
-def _heads(pdf: pd.DataFrame) -> pd.DataFrame:
-    """For each piece the seq of the piece its statement begins with, null if in an earlier split."""
-    pdf = pdf.sort_values("seq")
-    before = pd.Series(_fold(pdf, int(pdf["start"].iloc[0]))[:-1], index=pdf.index)
-    head = pdf["seq"].astype("Int64").where(before == CODE).ffill()
-    return pdf[["source", "block", "seq"]].assign(head=head)
-
-
-def _glue(pieces: DataFrame, cut: str) -> DataFrame:
-    """Join the pieces of statements that hold a cut. Groups hold integers of one split, or one
-    row per split of a file, or the text of one statement."""
-    steps = pieces.select(
-        "source", "block", "seq", *[_state_udf(s)("body").alias(f"s{s}") for s in (CODE, STRING, BLOCK)]
-    )
-    starts = (
-        steps.groupBy("source", "block")
-        .applyInPandas(_through, "source string, block bigint, s0 int, s1 int, s2 int")
-        .groupBy("source")
-        .applyInPandas(_split_starts, "source string, block bigint, start int")
-    )
-    heads = (
-        steps.join(starts, ["source", "block"])
-        .groupBy("source", "block")
-        .applyInPandas(_heads, "source string, block bigint, seq bigint, head bigint")
-    )
-    by_split = W.partitionBy("source").orderBy("block")
-    carried = (
-        heads.groupBy("source", "block")
-        .agg(F.max("head").alias("last"))
-        .withColumn("carry", F.last("last", ignorenulls=True).over(by_split.rowsBetween(W.unboundedPreceding, -1)))
-        .select("source", "block", "carry")
-    )
-    runs = heads.join(carried, ["source", "block"]).select(
-        "source", "block", "seq", F.coalesce("head", "carry").alias("head")
-    )
-    parts = F.sort_array(F.collect_list(F.struct("block", "seq", "body")))
-    return (
-        pieces.join(runs, ["source", "block", "seq"])
-        .groupBy("source", "head")
-        .agg(parts.alias("parts"))
-        .select(
-            "source",
-            F.get("parts", F.lit(0))["block"].alias("block"),
-            F.col("head").alias("seq"),
-            F.array_join("parts.body", cut).alias("body"),
-        )
-    )
+    pieces = read_pieces(spark, paths, cut)
+    opens = _state_udf(CODE)("body") != CODE
+    return whole_pieces(pieces, opens, lambda: [_state_udf(s)("body") for s in (CODE, STRING, BLOCK)], cut)
