@@ -136,3 +136,63 @@ def test_dump_job_is_idempotent(spark, dump, tmp_path):
     jobs.ingest_sql_dump(spark, dump, store)
     jobs.ingest_sql_dump(spark, dump, store)
     assert store.read().count() == store.read().select("id").distinct().count() == 6
+
+
+def line_form(spark, path):
+    rows = jobs.dump_records(spark, path, compat=True).collect()
+    return sorted((r["table_name"] or "", r["row_id"] or "", r["text"]) for r in rows)
+
+
+def test_older_reading_of_the_fixture(spark, dump, tmp_path):
+    remarks = [
+        ("", "", "A single line comment that is long enough"),
+        ("", "", "block comment on one line, long enough"),
+        ("", "", "second line of the block comment"),
+    ]
+    # the ";" of an entity ends the statement inside an open string
+    assert line_form(spark, dump) == remarks
+    one_line = DUMP.replace("VALUES\n (", "VALUES (").replace("),\n (", "), (")
+    (tmp_path / "one.sql").write_text(one_line)
+    assert line_form(spark, str(tmp_path / "one.sql")) == [
+        *remarks,
+        ("assets", "7", "Avocado pieces in a box \nfresh & green product"),
+        ("assets", "9", "a text with ; and, comma (and parens) \nit's escaped here"),
+    ]
+
+
+def test_older_reading_over_tiny_splits(spark, tmp_path):
+    parts, want = [], []
+    for i in range(60):
+        parts.append(f"/* opening text is left out\n   inner remark number {i} is kept\n closing remark {i} */ INSERT INTO t (id, v)\n")
+        parts.append(f"-- remark inside statement {i}\nVALUES ({i}, 'it''s the text of row {i}',\n NOW(), 'lost beyond the call');\n")
+        want += [
+            ("", "", f"inner remark number {i} is kept"),
+            ("", "", f"closing remark {i}"),
+            ("", "", f"remark inside statement {i}"),
+            ("t", str(i), f"its the text of row {i}"),
+        ]
+    (tmp_path / "x.sql").write_text("".join(parts))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        assert line_form(spark, str(tmp_path)) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize(
+    "values, want",
+    [
+        ("(1,'a'),(2, 'b')", [["1", "a"], ["2", " b"]]),
+        ("(1,'it''s')", [["1", "its"]]),
+        ("(1,'a\\'b')", [["1", "a'b"]]),
+        ("(f(1), 2)", [["f(1"]]),
+        ("(1) ON DUPLICATE KEY UPDATE a=VALUES(a)", [["1"], ["a"]]),
+        ("('a,(b);c',)", [["a,(b);c", ""]]),
+        ("()", [[""]]),
+        ("('open", []),
+        ("('a'),('open, (1,2)", [["a"]]),
+    ],
+)
+def test_flat_tuples(values, want):
+    assert list(extract.flat_tuples(values)) == want

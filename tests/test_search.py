@@ -59,6 +59,13 @@ def test_every_path_equals_brute_force(spark, data, metric, path, monkeypatch):
     assert hits(got) == brute(q, v, 7, metric)
 
 
+def test_batches_are_sliced(spark, data, monkeypatch):
+    q, v = data
+    monkeypatch.setattr(search, "MAX_SCORES", 90)
+    got = search.top_k(frame(spark, q, "query_id", "query"), frame(spark, v, "id", "embedding"), 7)
+    assert hits(got) == brute(q, v, 7, "ip")
+
+
 def test_hot_cell_is_split_and_whole(spark, data, monkeypatch):
     """A third of all vectors equal one another: results stay exact over many blocks."""
     q, v = data

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import MIN_TEXT_LEN, TEXT_SEP, clean_text, collapse_blanks, html_text, kept, looks_textual, strip_blanks
-from ..sources.sqldump import LEX
+from ..sources.sqldump import LEX, gathered_statements, scan_lines
 
 RECORD_SCHEMA = "source string, table_name string, row_id string, text string"
+RAW_ROW = ["source", "table_name", "cols", "cells", "texts"]
+RAW_ROW_SCHEMA = "source string, table_name string, cols string, cells array<string>, texts array<string>"
 TUPLES_PER_BATCH = 2048
 
 # The INSERT shape that is read (column list mandatory, no schema prefix), and
@@ -93,6 +95,29 @@ def value_tuples(values: str) -> Iterator[list[str]]:
         cell.append(m[0] if text is None else _ESCAPED.sub(lambda e: e[1] or "'", text))
 
 
+_FLAT_GROUP = re.compile(r"\(((?:'(?:[^'\\]|\\.)*'|[^')])*)\)", re.S)
+_FLAT_CELL = re.compile(r"((?:'(?:[^'\\]|\\.)*'|[^',])*)(?:,|\Z)", re.S)
+_FLAT_QUOTED = re.compile(r"'((?:[^'\\]|\\.)*)'", re.S)
+
+
+def flat_tuples(values: str) -> Iterator[list[str]]:
+    """The older reading: a group ends at its first ")", whatever stands between groups is passed over,
+    and a doubled quote is lost."""
+    at = values.find("(")
+    while at >= 0:
+        group = _FLAT_GROUP.match(values, at)
+        if group is None:
+            # a string or group left open swallows the rest
+            return
+        at = values.find("(", group.end())
+        body = group[1]
+        cells = [m[1] for m in _FLAT_CELL.finditer(body)]
+        # a match at the very end stands for a cell only after a comma
+        if len(cells) > 1 and not body.endswith(","):
+            cells.pop()
+        yield [_FLAT_QUOTED.sub(lambda q: re.sub(r"\\(.)", r"\1", q[1], flags=re.S), c) for c in cells]
+
+
 def comments(statements: DataFrame, min_text_len: int = MIN_TEXT_LEN) -> DataFrame:
     """Comment records; table and row id are null."""
 
@@ -190,8 +215,6 @@ def row_texts(tuple_rows: DataFrame, min_text_len: int = MIN_TEXT_LEN) -> DataFr
 
 def text_records(statements: DataFrame, min_text_len: int = MIN_TEXT_LEN) -> DataFrame:
     """Everything worth searching in a dump, comments and row texts, in one pass over it."""
-    names = ["source", "table_name", "cols", "cells", "texts"]
-
     def both(body: str) -> Iterator[tuple]:
         if "--" in body or "/*" in body:
             for c in comment_texts(body):
@@ -208,12 +231,40 @@ def text_records(statements: DataFrame, min_text_len: int = MIN_TEXT_LEN) -> Dat
                 for found in both(body):
                     rows.append((source, *found))
                     if len(rows) >= TUPLES_PER_BATCH:
-                        yield pd.DataFrame(rows, columns=names)
+                        yield pd.DataFrame(rows, columns=RAW_ROW)
                         rows = []
-            yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame(rows, columns=RAW_ROW)
+
+    return row_texts(statements.select("source", "body").mapInPandas(spread, RAW_ROW_SCHEMA), min_text_len)
 
-    schema = "source string, table_name string, cols string, cells array<string>, texts array<string>"
-    return row_texts(statements.select("source", "body").mapInPandas(spread, schema), min_text_len)
+
+def line_records(spark: SparkSession, paths: str | Sequence[str], min_text_len: int = MIN_TEXT_LEN) -> DataFrame:
+    """:func:`text_records` by the older, line-based reading of a dump.
+
+    Comment and statement marks count inside strings too: an INSERT over several lines ends at the first line
+    holding ";", text after "/*" on the line that opens a longer comment is left out.
+    """
+    lines = scan_lines(spark, paths)
+    remarks = lines.where(F.size("texts") > 0).select("source", F.explode("texts").alias("text"))
+    remarks = remarks.select("source", kept(clean_text("text"), lambda t: textual(t, min_text_len)).alias("text"))
+    missing = F.lit(None).cast("string")
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found: list[tuple] = []
+            for source, body in pdf.itertuples(index=False):
+                m = INSERT.match(body)
+                for cells in flat_tuples(m[3].rpartition(";")[0]) if m else ():
+                    found.append((source, m[1], m[2], cells, [_shown(_unquoted(c)) for c in cells]))
+                    if len(found) >= TUPLES_PER_BATCH:
+                        yield pd.DataFrame(found, columns=RAW_ROW)
+                        found = []
+            yield pd.DataFrame(found, columns=RAW_ROW)
+
+    statements = gathered_statements(lines).select("source", "body")
+    return remarks.select(
+        "source", missing.alias("table_name"), missing.alias("row_id"), "text"
+    ).unionByName(row_texts(statements.mapInPandas(rows, RAW_ROW_SCHEMA), min_text_len))
 
 
 def record_counts(records: DataFrame) -> DataFrame:

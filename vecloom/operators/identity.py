@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
-from .search import Matrix, scores, small_matrix, to_matrix, top_k
+from .search import Matrix, scores, sliced, small_matrix, to_matrix, top_k
 
 MATCH_THRESHOLD = 0.50
 UNKNOWN = "Unknown"
@@ -51,7 +51,7 @@ def _match_in_place(probes: DataFrame, few: Matrix, threshold: float) -> DataFra
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         users, rows, labels = shared.value
-        for batch in batches:
+        for batch in (part for b in batches for part in sliced(b, len(users))):
             n = batch.num_rows
             score = np.full(n, np.nan)
             best = np.zeros(n, np.int64)

@@ -33,6 +33,16 @@ SCORE_DIGITS = 9
 MAX_BROADCAST_ROWS = 4096
 MAX_BROADCAST_FLOATS = 8_000_000
 BLOCK_ROWS = 20_000
+# Scores held at a time by a task; batches are sliced to stay below it.
+MAX_SCORES = 4_000_000
+MAX_BITS = 40
+
+
+def sliced(batch: pa.RecordBatch, other_rows: int) -> Iterator[pa.RecordBatch]:
+    """Slices of ``batch`` small enough to be scored against ``other_rows`` rows."""
+    step = max(1, MAX_SCORES // max(1, other_rows))
+    for start in range(0, batch.num_rows, step):
+        yield batch.slice(start, step)
 
 
 @dataclass(frozen=True)
@@ -178,12 +188,12 @@ def _scan_vectors(few: Matrix, queries: DataFrame, vectors: DataFrame, k: int, m
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         best = _Best(len(m.keys), k)
-        for batch in batches:
-            if batch.num_rows and len(m.keys):
-                s = scores(m.rows, to_matrix(batch.column("embedding"), m.rows.shape[1]), metric)
+        for batch in batches if len(m.keys) else ():
+            for part in sliced(batch, len(m.keys)):
+                s = scores(m.rows, to_matrix(part.column("embedding"), m.rows.shape[1]), metric)
                 if allowed is not None:
-                    s = np.where(allowed(batch), s, np.nan)
-                best.add(s, batch.column("id").to_numpy(zero_copy_only=False))
+                    s = np.where(allowed(part), s, np.nan)
+                best.add(s, part.column("id").to_numpy(zero_copy_only=False))
         out = _table(m.keys.take(pa.array(best.q)), best.ids, best.score, arrow)
         yield from out.to_batches()
 
@@ -199,11 +209,11 @@ def _scan_queries(few: Matrix, queries: DataFrame, vectors: DataFrame, k: int, m
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         ids = m.keys.to_numpy(zero_copy_only=False)
-        for batch in batches:
-            if batch.num_rows and len(ids):
-                best = _Best(batch.num_rows, k)
-                best.add(scores(to_matrix(batch.column("query"), m.rows.shape[1]), m.rows, metric), ids)
-                keys = batch.column("query_id").take(pa.array(best.q))
+        for batch in batches if len(ids) else ():
+            for part in sliced(batch, len(ids)):
+                best = _Best(part.num_rows, k)
+                best.add(scores(to_matrix(part.column("query"), m.rows.shape[1]), m.rows, metric), ids)
+                keys = part.column("query_id").take(pa.array(best.q))
                 rank = np.arange(1, len(best.q) + 1) - np.searchsorted(best.q, best.q)
                 hits = _table(keys, best.ids, best.score, arrow)
                 yield from hits.append_column(ranked.field("rank"), pa.array(rank, pa.int32())).to_batches()
@@ -240,7 +250,7 @@ def _blocked(queries: DataFrame, vectors: DataFrame, k: int, metric: str, block_
         qm = to_matrix(q.column("query"))
         ids = v.column("id").combine_chunks().to_numpy(zero_copy_only=False)
         best = _Best(q.num_rows, k)
-        step = max(1, 4_000_000 // q.num_rows)
+        step = max(1, MAX_SCORES // q.num_rows)
         for start in range(0, v.num_rows, step):
             part = to_matrix(v.column("embedding").slice(start, step), qm.shape[1])
             best.add(scores(qm, part, metric), ids[start : start + step])
@@ -274,7 +284,7 @@ def nearest_cells(df: DataFrame, vector: str, centroids: np.ndarray, n: int) ->
     schema = StructType([*df.schema.fields, StructField("cells", ArrayType(IntegerType()))])
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for b in batches for part in sliced(b, len(shared.value))):
             s = scores(to_matrix(batch.column(vector), shared.value.shape[1]), shared.value, "l2")
             nearest = np.argsort(-s, axis=1, kind="stable")[:, :n].astype(np.int32)
             cells = pa.ListArray.from_arrays(
@@ -336,12 +346,14 @@ class CellIndex:
 
 
 def signatures(df: DataFrame, vector: str, tables: int, bits: int, seed: int, probes: int = 1) -> DataFrame:
-    """``df`` with one row per hash table and probed bucket, ``cell`` = "table:bits".
+    """``df`` with one row per hash table and probed bucket, ``cell`` holding both numbers.
 
     A bucket is the side of ``bits`` random hyperplanes a vector lies on. Further probes flip the
     side of the plane the vector is nearest to, then the next nearest, and so on.
     """
-    schema = StructType([*df.schema.fields, StructField("cell", StringType())])
+    if not 0 <= bits <= MAX_BITS:
+        raise ValueError(f"bits must be at most {MAX_BITS}")
+    schema = StructType([*df.schema.fields, StructField("cell", LongType())])
     probes = min(probes, bits + 1)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,7 +371,7 @@ def signatures(df: DataFrame, vector: str, tables: int, bits: int, seed: int, pr
             for t in range(tables):
                 for p in range(probes):
                     probed = code[:, t] if p == 0 else code[:, t] ^ weight[nearest[:, t, p - 1]]
-                    cell = pa.array([f"{t}:{c}" for c in probed], pa.string())
+                    cell = pa.array(probed | (t << MAX_BITS), pa.int64())
                     yield pa.RecordBatch.from_arrays([*batch.columns, cell], names=[*batch.schema.names, "cell"])
 
     return df.mapInArrow(sign, schema)

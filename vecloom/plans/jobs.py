@@ -87,14 +87,24 @@ def sync_csv(
     return sync_store(store, incoming, [source], lambda rows: with_vectors(rows, make_encoder), detect_updates)
 
 
+def dump_records(
+    spark: SparkSession, paths: str | Sequence[str], min_text_len: int = MIN_TEXT_LEN, compat: bool = False
+) -> DataFrame:
+    """Text records of a dump; ``compat`` reads it line by line, the older way."""
+    if compat:
+        return extract.line_records(spark, paths, min_text_len)
+    return extract.text_records(scan_statements(spark, paths), min_text_len)
+
+
 def dump_chunks(
     spark: SparkSession,
     paths: str | Sequence[str],
     min_text_len: int = MIN_TEXT_LEN,
     max_tokens: int = chunk.MAX_TOKENS,
     overlap: int = chunk.OVERLAP,
+    compat: bool = False,
 ) -> DataFrame:
-    records = extract.text_records(scan_statements(spark, paths), min_text_len)
+    records = dump_records(spark, paths, min_text_len, compat)
     cut = chunk.chunk_records(records, chunk.windows("text", max_tokens, overlap))
     return chunk.distinct_chunks(cut)
 
@@ -104,15 +114,17 @@ def ingest_sql_dump(
     paths: str | Sequence[str],
     store: RowStore,
     make_encoder: Callable[[], Encoder] = HashingEncoder,
-    **sizes,
+    **options,
 ) -> int:
     """Chunks of a dump go into the store, replacing chunks of the same id; returns the version."""
-    return store.apply(adds=with_vectors(dump_chunks(spark, paths, **sizes), make_encoder))
+    return store.apply(adds=with_vectors(dump_chunks(spark, paths, **options), make_encoder))
 
 
-def dry_run(spark: SparkSession, paths: str | Sequence[str], min_text_len: int = MIN_TEXT_LEN) -> DataFrame:
+def dry_run(
+    spark: SparkSession, paths: str | Sequence[str], min_text_len: int = MIN_TEXT_LEN, compat: bool = False
+) -> DataFrame:
     """Text records per table of a dump; nothing is chunked, encoded or stored."""
-    return extract.record_counts(extract.text_records(scan_statements(spark, paths), min_text_len))
+    return extract.record_counts(dump_records(spark, paths, min_text_len, compat))
 
 
 def search_texts(
@@ -175,6 +187,7 @@ __all__ = [
     "csv_rows",
     "dry_run",
     "dump_chunks",
+    "dump_records",
     "flatten_json",
     "ingest_csv",
     "ingest_sql_dump",

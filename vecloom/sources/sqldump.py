@@ -7,13 +7,13 @@ one before it.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .pieces import read_pieces, whole_pieces
+from .pieces import glue, read_pieces, states_before, whole_pieces
 
 CUT = ";\n"
 
@@ -69,3 +69,64 @@ def scan_statements(spark: SparkSession, paths: str | Sequence[str], cut: str =
     pieces = read_pieces(spark, paths, cut)
     opens = _state_udf(CODE)("body") != CODE
     return whole_pieces(pieces, opens, lambda: [_state_udf(s)("body") for s in (CODE, STRING, BLOCK)], cut)
+
+
+# The older, line-based reading: marks count wherever they stand in a line, also inside strings. A line
+# starts in one of four states, bit 0: an INSERT is being gathered, bit 1: inside a block comment.
+GATHERING, IN_COMMENT = 1, 2
+
+
+def read_line(line: str, state: int) -> tuple[int, list[str], str | None]:
+    """``(state after, comment texts, code of an INSERT)`` of one line."""
+    gathering = state & GATHERING
+    texts: list[str] = []
+    if state & IN_COMMENT:
+        text, closed, line = line.partition("*/")
+        texts.append(text)
+        if not closed:
+            return state, texts, None
+    if line.lstrip().startswith("--"):
+        return gathering, [*texts, line.lstrip()[2:]], None
+    before, opened, rest = line.partition("/*")
+    if opened:
+        text, closed, line = rest.partition("*/")
+        texts.append(before)
+        if not closed:
+            return gathering | IN_COMMENT, texts, None
+        texts.append(text)
+    if not gathering and not line.lstrip()[:6].upper() == "INSERT":
+        return 0, texts, None
+    return 0 if ";" in line else GATHERING, texts, line
+
+
+def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``(source, block, seq, before, texts, code)`` per line, read the older way.
+
+    Line states are folded like those of pieces, so files stay split.
+    """
+
+    @F.pandas_udf("array<int>")
+    def ends(s: pd.Series) -> pd.Series:
+        return s.map(lambda line: [read_line(line, state)[0] for state in range(4)])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [read_line(body, before)[1:] for body, before in zip(pdf["body"], pdf["before"])]
+            texts, code = [f[0] for f in found], [f[1] for f in found]
+            yield pdf.drop(columns="body").assign(texts=texts, code=pd.Series(code, index=pdf.index, dtype=object))
+
+    lines = read_pieces(spark, paths, "\n")
+    before = states_before(lines, [F.get(ends("body"), F.lit(i)) for i in range(4)])
+    keyed = lines.join(before, ["source", "block", "seq"])
+    schema = "source string, block bigint, seq bigint, before int, texts array<string>, code string"
+    return keyed.select("source", "block", "seq", "before", "body").mapInPandas(read, schema)
+
+
+def gathered_statements(lines: DataFrame) -> DataFrame:
+    """INSERT statements of :func:`scan_lines`, lines joined; one without ";" never ended."""
+    code = lines.where("code is not null")
+    heads = code.select(
+        "source", "block", "seq", (F.col("before").bitwiseAND(F.lit(GATHERING)) == 0).alias("head")
+    )
+    pieces = code.select("source", "block", "seq", F.col("code").alias("body"))
+    return glue(pieces, heads, "\n").where(F.contains("body", F.lit(";")))
