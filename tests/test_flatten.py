@@ -82,6 +82,33 @@ def test_root_list_and_root_object_to_csv(spark, tmp_path):
     assert back == {("1", 'say "x",\nthen y', ""), ("", "", ""), ("", "", "1, 2")}
 
 
+@pytest.mark.parametrize("indent", [None, 1])
+def test_huge_list_is_split(spark, tmp_path, indent):
+    """Lists over many splits, cuts inside strings and nested objects, elements of every kind."""
+    docs = []
+    for i in range(90):
+        docs.append({"i": i, "s": 'a}, "b\\', "n": [{"x": {"y": i}}, {"z": '},{"'}], "e": {}})
+        docs += [[i, "},", [{}]], i, "text }, here", None, True][: i % 7]
+    (tmp_path / "big.json").write_text(json.dumps(docs, indent=indent))
+    (tmp_path / "other.json").write_text(" \n" + json.dumps([[{"k": [1, {"m": "}, "}]}, 7]] * 40))
+    (tmp_path / "small.json").write_text(json.dumps({"one": 1}))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    try:
+        got = scan_json(spark, str(tmp_path), whole_file_bytes=100).select(F.to_json("v")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    key = lambda d: json.dumps(d, sort_keys=True)
+    want = [*docs, *[[{"k": [1, {"m": "}, "}]}, 7]] * 40, {"one": 1}]
+    assert sorted(key(json.loads(r[0])) for r in got) == sorted(map(key, want))
+
+
+def test_malformed_file_is_an_error(spark, tmp_path):
+    (tmp_path / "bad.json").write_text('[{"a": 1}, {"a": ')
+    with pytest.raises(Exception):
+        scan_json(spark, str(tmp_path)).collect()
+
+
 def test_too_many_columns_are_refused(spark, monkeypatch):
     monkeypatch.setattr(flatten, "MAX_WIDE_COLUMNS", 1)
     df = spark.sql("""SELECT 1 AS rec_id, parse_json('{"a":1,"b":2}') AS v""")

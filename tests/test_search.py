@@ -8,6 +8,8 @@ from vecloom.functions.encoder import HashingEncoder, encode_column
 from vecloom.functions.vectors import aspect_ratio, cosine, l2_normalize, squared_l2
 from vecloom.operators import identity, search
 from vecloom.operators.sync import vector_quality
+from vecloom.plans import jobs
+from vecloom.session import materialise
 
 DIM = 8
 
@@ -207,3 +209,23 @@ def test_random_sizes(spark, nq, nv, k, metric):
     q, v = rng.integers(-2, 3, (nq, 3)), rng.integers(-2, 3, (nv, 3))
     got = search.top_k(frame(spark, q, "query_id", "query"), frame(spark, v, "id", "embedding"), k, metric)
     assert hits(got) == brute(q, v, k, metric)
+
+
+def test_searchers_by_factory_name(spark, tmp_path):
+    words = ["red box", "green box", "blue bag", "yellow bag of apples", "a red apple"]
+    rows = [(str(i), "s", "t", str(i), 0, w) for i, w in enumerate(words)]
+    store = jobs.with_vectors(spark.createDataFrame(rows, "id string, source string, table_name string, row_id string, position int, text string"))
+    store = materialise(store, "rows")
+    asked = spark.createDataFrame([(1, " Red box "), (2, "\t")], "query_id bigint, q string")
+
+    def best(**how):
+        found = jobs.search_texts(asked, store, 2, **how).orderBy("rank").collect()
+        return [(r["query_id"], r["text"]) for r in found]
+
+    exact = best()
+    assert exact[0] == (1, "red box") and len(exact) == 2
+    for factory in ("Flat", "IVF2,Flat"):
+        assert best(find=jobs.searcher(store, factory, path=str(tmp_path / "cells"))) == exact
+    assert best(find=jobs.searcher(store, "HNSW32"))[0] == exact[0]
+    with pytest.raises(ValueError):
+        jobs.searcher(store, "PQ8")

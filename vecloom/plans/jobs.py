@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from ..functions.text import MIN_TEXT_LEN
 from ..functions.vectors import aspect_ratio
 from ..operators import chunk, events, extract, flatten, identity, profile, search
 from ..operators.sync import sync_store
-from ..session import materialise
+from ..session import scratch
 from ..sources.csv import ORDINAL, SOURCE, scan_csv, write_csv
 from ..sources.json import scan_json
 from ..sources.sqldump import scan_statements
@@ -127,22 +128,43 @@ def dry_run(
     return extract.record_counts(dump_records(spark, paths, min_text_len, compat))
 
 
+def searcher(
+    rows: DataFrame, factory: str = "Flat", metric: str = "ip", nprobe: int = 16, path: str | None = None
+) -> Callable[[DataFrame, int], DataFrame]:
+    """A function of ``(queries, k)`` giving hits, chosen by an index-factory name.
+
+    "Flat" is exact; "IVF4096,Flat" builds a cell index of that many cells under ``path`` (the shared folder by
+    default) and probes ``nprobe`` of them; "HNSW32", a graph elsewhere, means hashed candidates here.
+    """
+    vectors = rows.select("id", "embedding")
+    name = factory.strip().lower()
+    if name in ("", "flat"):
+        return lambda queries, k: search.top_k(queries, vectors, k, metric)
+    cells = re.fullmatch(r"ivf(\d+),flat", name)
+    if cells:
+        where = path or scratch(rows.sparkSession, "cells")
+        index = search.CellIndex.build(vectors, where, int(cells[1]))
+        return lambda queries, k: index.search(queries, k, nprobe, metric)
+    if re.fullmatch(r"hnsw\d*(,flat)?", name):
+        return lambda queries, k: search.hashed_top_k(queries, vectors, k, metric)
+    raise ValueError(f"no such index: {factory}")
+
+
 def search_texts(
     queries: DataFrame,
     rows: DataFrame,
     k: int = 10,
     metric: str = "ip",
     make_encoder: Callable[[], Encoder] = HashingEncoder,
-    index: search.CellIndex | None = None,
-    nprobe: int = 16,
+    find: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> DataFrame:
-    """Hits with metadata for ``queries(query_id, q)`` over stored rows, all queries in one job."""
+    """Hits with metadata for ``queries(query_id, q)`` over stored rows, all queries in one job.
+
+    ``find`` is a :func:`searcher`; without one the search is exact. Blank queries are dropped.
+    """
     asked = search.query_table(queries).withColumn("query", encode_column("q", make_encoder))
-    if index is not None:
-        hits = index.search(asked, k, nprobe, metric)
-    else:
-        hits = search.top_k(asked, rows.select("id", "embedding"), k, metric)
-    return search.with_metadata(hits, rows, max_hits=asked.count() * k)
+    find = find or searcher(rows, metric=metric)
+    return search.with_metadata(find(asked, k), rows, max_hits=asked.count() * k)
 
 
 def flatten_json(spark: SparkSession, paths: str | Sequence[str], out: str | None = None, lines: bool = False) -> DataFrame:
@@ -192,8 +214,8 @@ __all__ = [
     "ingest_csv",
     "ingest_sql_dump",
     "match_and_mark",
-    "materialise",
     "search_texts",
+    "searcher",
     "sync_csv",
     "with_vectors",
 ]
