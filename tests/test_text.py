@@ -58,6 +58,7 @@ CLEAN = {
     "<script>var a = '</p>';</script>after<style>p{}</style>": "after",
     "one<!-- hidden -->two": "one two",
     "caf&eacute; &#233; &#xe9;": "café é é",
+    "R&ampD &copy 2024 &lt5 &amp;amp": "R&D © 2024 <5 &",
     "line<br>break<br/>twice": "line break twice",
     "5 < 6 and 7 > 2": "5 < 6 and 7 > 2",
     "<p>unclosed <b>tags": "unclosed tags",

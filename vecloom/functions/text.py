@@ -21,17 +21,11 @@ MIN_TEXT_LEN = 10
 MIN_LETTERS = 5
 MIN_LETTER_SHARE = 0.3
 
-# Named entities the native tier decodes. The ampersand is handled last
-# so that "&amp;lt;" is decoded once per pass.
+# Named entities the native tier decodes; the first ones are also valid without their
+# semicolon. The ampersand is decoded last so that "&amp;lt;" is decoded once per pass.
+BARE_ENTITIES = {"&lt": "<", "&gt": ">", "&quot": '"', "&nbsp": "\u00a0", "&copy": "©", "&reg": "®", "&middot": "·"}
 NAMED_ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
     "&apos;": "'",
-    "&nbsp;": " ",
-    "&copy;": "©",
-    "&reg;": "®",
-    "&middot;": "·",
     "&hellip;": "…",
     "&ndash;": "–",
     "&mdash;": "—",
@@ -87,6 +81,8 @@ def decode_entities(c: Column | str) -> Column:
     replacement cannot compute a character.
     """
     c = _col(c)
+    for entity, char in BARE_ENTITIES.items():
+        c = F.regexp_replace(c, entity + ";?", char)
     for entity, char in NAMED_ENTITIES.items():
         c = F.replace(c, F.lit(entity), F.lit(char))
 
@@ -104,7 +100,7 @@ def decode_entities(c: Column | str) -> Column:
 
     # text without "&#" is one piece, which stays as it is
     c = F.array_join(F.transform(F.split(c, "&#"), piece), "")
-    return F.replace(c, F.lit("&amp;"), F.lit("&"))
+    return F.regexp_replace(c, "&amp;?", "&")
 
 
 def clean_text_native(c: Column | str) -> Column:
@@ -127,28 +123,43 @@ class _TextNodes(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.nodes: list[str] = []
+        self.nodes: list[list[str]] = []
         self.open: list[str] = []
+        self.in_node = False
 
     def handle_starttag(self, tag, attrs):
+        self.in_node = False
         if tag not in self.VOID:
             self.open.append(tag)
 
     def handle_startendtag(self, tag, attrs):
-        pass
+        self.in_node = False
 
     def handle_endtag(self, tag):
+        self.in_node = False
         if tag in self.open:
             while self.open.pop() != tag:
                 pass
 
     def handle_data(self, data):
-        if self.HIDDEN.isdisjoint(self.open):
-            self.nodes.append(data)
+        if not self.HIDDEN.isdisjoint(self.open):
+            return
+        # the parser hands over a text in parts, which are one node until some markup comes
+        if not self.in_node:
+            self.nodes.append([])
+        self.nodes[-1].append(data)
+        self.in_node = True
+
+    def handle_comment(self, data):
+        self.in_node = False
+
+    handle_decl = handle_pi = handle_comment
 
     def unknown_decl(self, data):
+        self.in_node = False
         if data[:6].upper() == "CDATA[":
             self.handle_data(data[6:])
+            self.in_node = False
 
 
 def html_text(raw: str) -> str:
@@ -156,7 +167,7 @@ def html_text(raw: str) -> str:
     parser = _TextNodes()
     parser.feed(unescape(raw))
     parser.close()
-    return " ".join(parser.nodes)
+    return " ".join("".join(node) for node in parser.nodes)
 
 
 @F.pandas_udf(StringType())

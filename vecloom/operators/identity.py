@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.keys import surrogate_key
 from .search import Matrix, scores, sliced, small_matrix, to_matrix, top_k
@@ -17,8 +19,10 @@ MATCH_THRESHOLD = 0.50
 UNKNOWN = "Unknown"
 
 
-def match_gallery(probes: DataFrame, gallery: DataFrame, threshold: float = MATCH_THRESHOLD) -> DataFrame:
-    """``(probe_id, user_id, name, score)``: the best user by cosine if above ``threshold``.
+def match_gallery(
+    probes: DataFrame, gallery: DataFrame, threshold: float = MATCH_THRESHOLD, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``(probe_id, keep..., user_id, name, score)``: the best user by cosine if above ``threshold``.
 
     Otherwise the name is "Unknown" with the best score, null for a zero vector. Equal scores go
     to the lower user id. A gallery of checked size is shipped to the probes, which are then
@@ -26,7 +30,7 @@ def match_gallery(probes: DataFrame, gallery: DataFrame, threshold: float = MATC
     """
     few = small_matrix(gallery, "user_id", "embedding", "name")
     if few is not None:
-        return _match_in_place(probes, few, threshold)
+        return _match_in_place(probes, few, threshold, keep)
     best = top_k(
         probes.select(F.col("probe_id").alias("query_id"), F.col("embedding").alias("query")),
         gallery.select(F.col("user_id").alias("id"), "embedding"),
@@ -35,26 +39,27 @@ def match_gallery(probes: DataFrame, gallery: DataFrame, threshold: float = MATC
     )
     named = best.join(gallery.select(F.col("user_id").alias("id"), "name"), "id").withColumnRenamed("query_id", "probe_id")
     hit = F.col("score") > threshold
-    return probes.select("probe_id").join(named, "probe_id", "left").select(
+    return probes.select("probe_id", *keep).join(named, "probe_id", "left").select(
         "probe_id",
+        *keep,
         F.when(hit, F.col("id")).alias("user_id"),
         F.when(hit, F.col("name")).otherwise(F.lit(UNKNOWN)).alias("name"),
         "score",
     )
 
 
-def _match_in_place(probes: DataFrame, few: Matrix, threshold: float) -> DataFrame:
+def _match_in_place(probes: DataFrame, few: Matrix, threshold: float, keep: Sequence[str]) -> DataFrame:
     order = np.argsort(few.keys.to_numpy(zero_copy_only=False), kind="stable")
     ids = few.keys.to_numpy(zero_copy_only=False)[order]
-    shared = probes.sparkSession.sparkContext.broadcast((ids, few.rows[order], [few.extra["name"][i] for i in order]))
-    kind = probes.schema["probe_id"].dataType.simpleString()
+    names = pa.array([few.extra["name"][i] for i in order], pa.string())
+    shared = probes.sparkSession.sparkContext.broadcast((ids, few.rows[order], names))
+    kept = ["probe_id", *keep]
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         users, rows, labels = shared.value
         for batch in (part for b in batches for part in sliced(b, len(users))):
-            n = batch.num_rows
-            score = np.full(n, np.nan)
-            best = np.zeros(n, np.int64)
+            best = np.zeros(batch.num_rows, np.int64)
+            score = np.full(batch.num_rows, np.nan)
             present = np.nonzero(batch.column("embedding").is_valid().to_numpy(zero_copy_only=False))[0]
             if len(users) and len(present):
                 s = scores(to_matrix(batch.column("embedding").take(pa.array(present)), rows.shape[1]), rows, "cosine")
@@ -63,18 +68,20 @@ def _match_in_place(probes: DataFrame, few: Matrix, threshold: float) -> DataFra
                 score[present] = s.max(axis=1)
                 score[np.isinf(score)] = np.nan
             hit = score > threshold
+            at = pa.array(best, mask=~hit)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("probe_id"),
-                    pa.array([int(users[b]) if h else None for b, h in zip(best, hit)], pa.int64()),
-                    pa.array([labels[b] if h else UNKNOWN for b, h in zip(best, hit)], pa.string()),
+                    *[batch.column(c) for c in kept],
+                    pa.array(users, pa.int64()).take(at),
+                    pc.fill_null(labels.take(at), UNKNOWN),
                     pa.array(score, pa.float64(), mask=np.isnan(score)),
                 ],
-                names=["probe_id", "user_id", "name", "score"],
+                names=[*kept, "user_id", "name", "score"],
             )
 
-    ddl = f"probe_id {kind}, user_id bigint, name string, score double"
-    return probes.select("probe_id", "embedding").mapInArrow(match, ddl)
+    schema = StructType([probes.schema[c] for c in kept])
+    schema = schema.add("user_id", "long").add("name", "string").add("score", "double")
+    return probes.select(*kept, "embedding").mapInArrow(match, schema)
 
 
 def register_new(incoming: DataFrame, users: DataFrame, seq: str) -> DataFrame:

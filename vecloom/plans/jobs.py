@@ -13,7 +13,7 @@ from ..functions.text import MIN_TEXT_LEN
 from ..functions.vectors import aspect_ratio
 from ..operators import chunk, events, extract, flatten, identity, profile, search
 from ..operators.sync import sync_store
-from ..session import scratch
+from ..session import materialise, scratch
 from ..sources.csv import ORDINAL, SOURCE, scan_csv, write_csv
 from ..sources.json import scan_json
 from ..sources.sqldump import scan_statements
@@ -195,12 +195,14 @@ def match_and_mark(
     opened = events.low_runs(readings, ["site"], eye_threshold, min_run, seconds).select(
         "site", "ts", F.col("id").alias("frame")
     )
+    opened = materialise(opened, "opened")
     faces = frames.select("site", "ts", "frame", F.posexplode("faces").alias("face", "seen"))
     key = F.concat_ws("|", "site", F.col("frame").cast("string"), F.col("face").cast("string"))
-    faces = faces.select("site", "ts", "frame", "face", key.alias("probe_id"), F.col("seen.embedding").alias("embedding"))
-    matched = identity.match_gallery(faces, gallery, match_threshold).where("user_id is not null")
-    named = faces.drop("embedding").join(matched, "probe_id")
-    matches = named.select("site", "ts", "frame", "face", "user_id")
+    probes = faces.select("site", "ts", "frame", "face", key.alias("probe_id"), F.col("seen.embedding").alias("embedding"))
+    matched = identity.match_gallery(probes, gallery, match_threshold, keep=["site", "ts", "frame", "face"])
+    matches = matched.where("user_id is not null").select("site", "ts", "frame", "face", "user_id")
+    # scored once; what follows reads this narrow table several times
+    matches = materialise(matches, "matches")
     return events.gated_marks(opened, matches, history, seconds)
 
 

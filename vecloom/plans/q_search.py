@@ -34,7 +34,7 @@ def label_queries(spark, sf) -> DataFrame:
     )
 
 
-# label means as (query_id, query), and all scored pairs, ranked on nine digits like the library
+# label means as (query_id, query), and all scored pairs; a score has nine digits, as in the library
 SQL_MEANS = """SELECT label::BIGINT AS query_id, list(m ORDER BY i) AS query FROM (
     SELECT label, i, avg(x::DOUBLE) AS m FROM (SELECT label, unnest(embedding) AS x, unnest(range(64)) AS i FROM embeddings)
     GROUP BY label, i) GROUP BY label"""
@@ -56,7 +56,7 @@ def _hits(df: DataFrame) -> DataFrame:
 
 
 def _sql_hits(top: str) -> str:
-    return f"SELECT query_id, rank, id, round(score, 6) AS score FROM ({top})"
+    return f"SELECT query_id, rank, id, round(round(score, 9), 6) AS score FROM ({top})"
 
 
 @query("knn_ip", _sql_hits(SQL_IP))
@@ -193,7 +193,7 @@ SQL_SEARCH = f"""WITH d AS (SELECT sha1(text) AS id, min(source) AS source, min(
       ON s.q = b.item_id AND s.id = d.id),
     best AS (SELECT * FROM (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id))::INT AS rank FROM pairs) WHERE rank <= {K})
     SELECT query_id, rank, source, row_id, substring(text, 1, 160) || CASE WHEN length(text) > 160 THEN '…' ELSE '' END AS preview,
-      round(score, 4) AS score FROM best JOIN d USING (id)"""
+      round(round(score, 9), 4) AS score FROM best JOIN d USING (id)"""
 
 
 @query("search_batch", SQL_SEARCH)
@@ -225,7 +225,7 @@ def job_search(spark, sf):
     "search_json",
     f"""WITH t AS ({SQL_IP}), q AS (SELECT DISTINCT label::BIGINT AS query_id FROM embeddings)
     SELECT query_id, 'label ' || query_id AS query, coalesce(results, '[]') AS results FROM q LEFT JOIN (
-      SELECT query_id, to_json(list(struct_pack(id := id::VARCHAR, score := printf('%.4f', score),
+      SELECT query_id, to_json(list(struct_pack(id := id::VARCHAR, score := printf('%.4f', round(score, 9)),
         position := toxic, preview := '') ORDER BY rank))::VARCHAR AS results
       FROM t JOIN labels ON doc_id = id GROUP BY query_id) USING (query_id)""",
 )
@@ -249,7 +249,7 @@ def search_json(spark, sf):
 
 MATCH_AT = 0.3
 SQL_MATCH = f"""SELECT probe_id, CASE WHEN score > {MATCH_AT} THEN user_id END AS user_id,
-      CASE WHEN score > {MATCH_AT} THEN 'user-' || user_id ELSE 'Unknown' END AS name, round(score, 6) AS score FROM (
+      CASE WHEN score > {MATCH_AT} THEN 'user-' || user_id ELSE 'Unknown' END AS name, round(round(score, 9), 6) AS score FROM (
       SELECT vec_id AS probe_id, query_id + 1 AS user_id, list_cosine_similarity(embedding::DOUBLE[], query) AS score,
         row_number() OVER (PARTITION BY vec_id ORDER BY round(list_cosine_similarity(embedding::DOUBLE[], query), 9) DESC, query_id) AS rn
       FROM embeddings, ({SQL_MEANS})) WHERE rn = 1"""

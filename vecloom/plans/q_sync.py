@@ -150,12 +150,15 @@ CSV_OPTIONS = {"text_columns": ["text"], "key_columns": ["doc_id"]}
 
 @query(
     "job_csv_full",
-    f"SELECT id, 'docs' AS source, md5(text) AS text_md5, 384::INT AS width FROM ({SQL_CSV_ROWS.format('documents')})",
+    """SELECT sha1(doc_id::VARCHAR) AS id, 'docs' AS source, 384::INT AS width,
+      md5(concat_ws(' ' || chr(10), CASE WHEN picked THEN text END, 'a document in ' || lang)) AS text_md5
+    FROM documents, (SELECT count(DISTINCT text) <= greatest(2000, floor(count(text) * 0.9)) AS picked FROM documents)""",
 )
 def job_csv_full(spark, sf):
-    """Columns picked by profile, rows keyed, encoded and stored."""
+    """Columns picked by profile (texts only while they repeat enough), rows keyed, encoded and stored."""
     path = scratch(spark, "csv")
-    _write_snapshot(table(spark, sf, "documents"), path)
+    note = F.concat(F.lit("a document in "), "lang").alias("note")
+    write_csv(table(spark, sf, "documents").select("doc_id", "lang", "text", note), path)
     store = RowStore(spark, scratch(spark, "store"), jobs.DEFAULT_DIM)
     jobs.ingest_csv(spark, path, store, source="docs", key_columns=["doc_id"])
     return store.read().select("id", "source", F.md5("text").alias("text_md5"), F.size("embedding").alias("width"))

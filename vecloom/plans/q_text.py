@@ -31,15 +31,17 @@ def sql_clean(c: str) -> str:
     """Decode, drop scripts and comments, drop tags, decode again, collapse blanks."""
 
     def decoded(x: str) -> str:
+        for entity, char in text.BARE_ENTITIES.items():
+            x = f"regexp_replace({x}, '{entity};?', '{char}', 'g')"
         for entity, char in text.NAMED_ENTITIES.items():
             quote = char.replace("'", "''")
             x = f"replace({x}, '{entity}', '{quote}')"
-        return f"replace({x}, '&amp;', '&')"
+        return f"regexp_replace({x}, '&amp;?', '&', 'g')"
 
     x = decoded(c)
     x = f"regexp_replace({x}, '(?is)<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>|<!--.*?-->', ' ', 'g')"
     x = f"regexp_replace({x}, '(?s)<[!?/a-zA-Z][^>]*>', ' ', 'g')"
-    return f"trim(regexp_replace({decoded(x)}, '[ \\t\\n\\r\\f\\v]+', ' ', 'g'))"
+    return f"trim(regexp_replace({decoded(x)}, '[ \\t\\n\\r\\f\\v\u00a0]+', ' ', 'g'))"
 
 
 @query(
