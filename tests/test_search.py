@@ -229,3 +229,6 @@ def test_searchers_by_factory_name(spark, tmp_path):
     assert best(find=jobs.searcher(store, "HNSW32"))[0] == exact[0]
     with pytest.raises(ValueError):
         jobs.searcher(store, "PQ8")
+    own = spark.createDataFrame([(1, "red box", 1), (2, "bag", 3), (3, " ", 9)], "query_id bigint, q string, k int")
+    counts = {r["query_id"]: r["count"] for r in jobs.search_texts(own, store).groupBy("query_id").count().collect()}
+    assert counts == {1: 1, 2: 3}

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, FloatType, StructType
 
 from ..functions.text import quoted
+from ..session import materialise
 
 MAX_WIDE_COLUMNS = 2000
 
@@ -123,13 +124,12 @@ def flatten_long(df: DataFrame, key: str = "rec_id", column: str = "v", levels:
 def paths_of(df: DataFrame, column: str = "v", levels: int | None = None, sep: str = ".") -> list[str]:
     """All paths in sorted order; refuses to make a table wider than the driver should plan."""
     levels = depth(df, column) if levels is None else levels
-    found = (
-        df.select(F.explode(F.transform(entries(column, levels, sep), lambda e: e["path"])).alias("path"))
-        .distinct()
-        .orderBy("path")
-        .limit(MAX_WIDE_COLUMNS + 1)
-        .collect()
-    )
+    return _distinct_paths(df.select(entries(column, levels, sep).alias("e")), "e")
+
+
+def _distinct_paths(df: DataFrame, column: str) -> list[str]:
+    paths = df.select(F.explode(F.transform(column, lambda e: e["path"])).alias("path")).distinct()
+    found = paths.orderBy("path").limit(MAX_WIDE_COLUMNS + 1).collect()
     if len(found) > MAX_WIDE_COLUMNS:
         raise ValueError(f"more than {MAX_WIDE_COLUMNS} paths: use the long form")
     return [r["path"] for r in found]
@@ -143,10 +143,16 @@ def flatten_wide(
     levels: int | None = None,
     sep: str = ".",
 ) -> DataFrame:
-    """One STRING column per path, "" where a record lacks it. Repeated paths keep the last value."""
+    """One STRING column per path, "" where a record lacks it. Repeated paths keep the last value.
+
+    Unless ``paths`` are given, the unrolled records are written once and read for the paths as well as for
+    the table: unrolling costs more than that.
+    """
     levels = depth(df, column) if levels is None else levels
-    paths = paths_of(df, column, levels, sep) if paths is None else paths
     found = df.select(key, entries(column, levels, sep).alias("__e__"))
+    if paths is None:
+        found = materialise(found, "entries")
+        paths = _distinct_paths(found, "__e__")
 
     def value(path: str) -> Column:
         hits = F.filter("__e__", lambda e: e["path"] == path)

@@ -160,11 +160,18 @@ def search_texts(
 ) -> DataFrame:
     """Hits with metadata for ``queries(query_id, q)`` over stored rows, all queries in one job.
 
-    ``find`` is a :func:`searcher`; without one the search is exact. Blank queries are dropped.
+    A column ``k`` in the queries overrides ``k`` per query. ``find`` is a :func:`searcher`; without one the
+    search is exact. Blank queries are dropped.
     """
     asked = search.query_table(queries).withColumn("query", encode_column("q", make_encoder))
     find = find or searcher(rows, metric=metric)
-    return search.with_metadata(find(asked, k), rows, max_hits=asked.count() * k)
+    if "k" in queries.columns:
+        n, k = asked.agg(F.count("*"), F.coalesce(F.max("k"), F.lit(k))).first()
+        own = asked.select("query_id", F.col("k").alias("wanted"))
+        hits = find(asked, k).join(own, "query_id").where("rank <= wanted").drop("wanted")
+    else:
+        n, hits = asked.count(), find(asked, k)
+    return search.with_metadata(hits, rows, max_hits=n * k)
 
 
 def flatten_json(spark: SparkSession, paths: str | Sequence[str], out: str | None = None, lines: bool = False) -> DataFrame:
