@@ -186,13 +186,13 @@ def surrogate_key(spark, sf):
     ids = table(spark, sf, "pages").select(F.col("url").alias("id")).unionByName(
         table(spark, sf, "documents").select(F.sha1("text").alias("id"))
     )
-    hashed = ids.distinct().withColumn("idhash", keys.surrogate_key("id"))
-    counts = hashed.agg(
-        F.count("*").alias("ids"),
-        F.count_distinct("idhash").alias("idhashes"),
+    per_key = ids.distinct().groupBy(keys.surrogate_key("id").alias("idhash")).agg(F.count("*").alias("n"))
+    return per_key.agg(
+        F.sum("n").alias("ids"),
+        F.count("*").alias("idhashes"),
         F.count_if(F.col("idhash") < 0).alias("negative"),
+        F.count_if(F.col("n") > 1).alias("collisions"),
     )
-    return counts.join(F.broadcast(keys.key_collisions(ids, "id").agg(F.count("*").alias("collisions"))))
 
 
 @query("clean_html", f"SELECT page_id, md5({sql_clean('html')}) AS text_md5 FROM pages")
