@@ -54,7 +54,7 @@ def group_totals(df: DataFrame, keys: list[str], spread: list[str], aggs: dict[s
     return salted.join(back, on).drop("_salt", *[f"_r_{c}" for c in [*keys, "_salt"]])
 
 
-def gapless_rank(df: DataFrame, group: str, order: list[Column], bucket: Column, rank: str, rows: int) -> DataFrame:
+def gapless_rank(df: DataFrame, group: str, order: list[Column], bucket: Column, rank: str) -> DataFrame:
     """``df`` with ``rank``: 0, 1, 2 ... within ``group``, by ``bucket`` and then ``order``.
 
     No window holds a whole group: rows are numbered per (group, bucket), and the number of rows in
