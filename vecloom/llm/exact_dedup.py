@@ -79,7 +79,8 @@ class DigestIndex:
     def add(self, digested: DataFrame) -> None:
         """Append the digests of new rows ``(doc_id, digest)``; the smallest id of a new digest is its ``keep_id``."""
         parts = digested.groupBy("digest", salt("doc_id").alias("salt")).agg(F.min("doc_id").alias("keep_id"))
-        self.append(parts.groupBy("digest").agg(F.min("keep_id").alias("keep_id")))
+        # written before the join, else the planner moves the anti-join below the grouping, onto all rows of a hot text
+        self.append(stored(parts.groupBy("digest").agg(F.min("keep_id").alias("keep_id")), "digest-batch"))
 
     def resolve(self, digested: DataFrame) -> DataFrame:
         """Rows ``(doc_id, digest)`` whose digest the index holds, with ``keep_id`` and ``group_size`` (rows given here).
