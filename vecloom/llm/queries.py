@@ -1,6 +1,6 @@
 """All registered queries of this subpackage."""
 
-from . import decontam, exact_dedup, minhash, mixing, sharding  # noqa: F401
+from . import decontam, exact_dedup, langid, minhash, mixing, sharding  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
