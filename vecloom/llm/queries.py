@@ -1,6 +1,6 @@
 """All registered queries of this subpackage."""
 
-from . import decontam, exact_dedup, langid, minhash, mixing, secret_scan, sharding, suffix_dedup  # noqa: F401
+from . import decontam, exact_dedup, langid, minhash, mixing, secret_scan, sharding, suffix_dedup, urlfilter  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
