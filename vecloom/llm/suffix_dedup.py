@@ -123,6 +123,44 @@ def _by_key(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.concatenate(([0], np.flatnonzero(change) + 1, [len(order)])) if len(order) else np.zeros(1, np.int64)
 
 
+def bucket_code(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of each hash, and 32 further bits of it.
+
+    A bucket holds about a million anchors whatever the input's size, so one in some thousands shares its 32 bits with another
+    one; that only lets a few contexts more be compared.
+    """
+    return (hashes % _U(buckets)).astype(np.int64), ((hashes // _U(buckets)) & _U(0xFFFFFFFF)).astype(np.uint32)
+
+
+def grouped_rows(ids: np.ndarray, kinds: np.ndarray, values: np.ndarray, groups: int) -> pa.Table:
+    """One row for each group of documents: ``grp, ids, kinds, values``, packed; ``values`` has a row per entry."""
+    grp = (mix(ids.astype(np.uint64) + _U(1)) % _U(groups)).astype(np.int32)
+    order, cuts = _by_key(grp)
+    first = order[cuts[:-1]] if len(order) else order
+    width = values.shape[1] if values.ndim > 1 else 1
+    flat = np.ascontiguousarray(values[order]).reshape(-1)
+    return pa.table(
+        [pa.array(grp[first]), binaries(ids[order], cuts), binaries(kinds[order], cuts), binaries(flat, cuts * width)],
+        names=["grp", "ids", "kinds", "values"],
+    )
+
+
+def by_document(rows: DataFrame, name: str, width: int) -> DataFrame:
+    """``doc_id, kind, <name>`` from grouped rows: all packed values of a document in one row."""
+
+    def collect(t: pa.Table) -> pa.Table:
+        ids, kinds, values = (np.concatenate(numbers(t[c], np.int64)) for c in ("ids", "kinds", "values"))
+        order, cuts = _by_key(ids, kinds)
+        first = order[cuts[:-1]] if len(order) else order
+        flat = np.ascontiguousarray(values.reshape(-1, width)[order]).reshape(-1)
+        return pa.table([pa.array(ids[first]), pa.array(kinds[first]), binaries(flat, cuts * width)], names=["doc_id", "kind", name])
+
+    return rows.groupBy("grp").applyInArrow(collect, f"doc_id long, kind long, {name} binary")
+
+
+GROUPED = "grp int, ids binary, kinds binary, values binary"
+
+
 def anchor_rows(texts: DataFrame, buckets: int) -> DataFrame:
     """``texts(doc_id, kind, text)`` -> per batch and bucket: anchor hashes, their documents, ids and kinds of those."""
 
@@ -135,7 +173,7 @@ def anchor_rows(texts: DataFrame, buckets: int) -> DataFrame:
             if not found:
                 continue
             doc, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
-            bucket = (hashes % _U(buckets)).astype(np.int64)
+            bucket, hashes = bucket_code(hashes, buckets)
             order, _ = _by_key(bucket, hashes, doc)
             bucket, hashes, doc = bucket[order], hashes[order], doc[order]
             new = np.ones(len(order), bool)
@@ -145,11 +183,12 @@ def anchor_rows(texts: DataFrame, buckets: int) -> DataFrame:
             parts = [np.unique(doc[a:z], return_inverse=True) for a, z in zip(cuts, cuts[1:], strict=False)]
             sizes = np.cumsum([0, *(len(u) for u, _ in parts)])
             used = np.concatenate([u for u, _ in parts])
+            place = np.uint16 if len(ids) <= 1 << 16 else np.uint32
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(bucket[cuts[:-1]].astype(np.int32)),
                     binaries(hashes, cuts),
-                    binaries(np.concatenate([i for _, i in parts]).astype(np.int32), cuts),
+                    binaries(np.concatenate([i for _, i in parts]).astype(place), cuts),
                     binaries(ids[used], sizes),
                     binaries(kinds[used], sizes),
                 ],
@@ -159,20 +198,18 @@ def anchor_rows(texts: DataFrame, buckets: int) -> DataFrame:
     return texts.mapInArrow(scan, "bucket int, hashes binary, at binary, ids binary, kinds binary")
 
 
-def shared_anchors(t: pa.Table) -> pa.Table:
-    """One bucket: the anchors that several texts have, told to each document: ``doc_id, kind, hashes``."""
-    at = numbers(t["at"], np.int32)
-    hashes = np.concatenate(numbers(t["hashes"], np.uint64))
+def shared_anchors(t: pa.Table, buckets: int) -> pa.Table:
+    """One bucket: the anchors that several texts have, as ``bucket << 32 | code``, grouped for their documents."""
+    at = [np.frombuffer(v.as_buffer(), np.uint16 if 2 * len(h) == len(v.as_buffer()) else np.uint32) for v, h in zip(t["at"], numbers(t["hashes"], np.uint32), strict=True)]
+    hashes = np.concatenate(numbers(t["hashes"], np.uint32))
     ids = np.concatenate([v[a] for v, a in zip(numbers(t["ids"], np.int64), at, strict=True)])
     kinds = np.concatenate([v[a] for v, a in zip(numbers(t["kinds"], np.int64), at, strict=True)])
     order, cuts = _by_key(hashes)
     k = kinds[order]
     low, high = np.minimum.reduceat(k, cuts[:-1]), np.maximum.reduceat(k, cuts[:-1])
     keep = order[np.repeat(low != high, np.diff(cuts))]
-    hashes, ids, kinds = hashes[keep], ids[keep], kinds[keep]
-    order, cuts = _by_key(ids, kinds)
-    first = order[cuts[:-1]] if len(order) else order
-    return pa.table([pa.array(ids[first]), pa.array(kinds[first]), binaries(hashes[order], cuts)], names=["doc_id", "kind", "hashes"])
+    codes = hashes[keep].astype(np.int64) | (t["bucket"][0].as_py() << 32)
+    return grouped_rows(ids[keep], kinds[keep], codes, buckets)
 
 
 def context_rows(texts: DataFrame, buckets: int) -> DataFrame:
@@ -188,9 +225,11 @@ def context_rows(texts: DataFrame, buckets: int) -> DataFrame:
             ids, kinds = b.column(0).to_numpy(), b.column(1).to_numpy()
             data, bounds = utf8(b.column(2))
             raw = data.tobytes()
-            told = [np.sort(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in v.values])) for v in b.column(3)]
+            told = [np.sort(v) for v in numbers(b.column(3), np.int64)]
             found = []
             for doc, start, n, h in anchors.texts(data, bounds):
+                bucket, code = bucket_code(h, buckets)
+                h = (bucket << 32) | code.astype(np.int64)
                 edges = np.flatnonzero(np.diff(doc)) + 1
                 for a, z in zip([0, *edges], [*edges, len(doc)], strict=True):
                     if a == z:
@@ -200,7 +239,7 @@ def context_rows(texts: DataFrame, buckets: int) -> DataFrame:
                     at[at == len(own)] = 0
                     hit = np.flatnonzero(own[at] == h[a:z]) + a
                     if len(hit):
-                        found.append((doc[hit], start[hit], n[hit] + LENGTH - 1, (h[hit] % _U(buckets)).astype(np.int64)))
+                        found.append((doc[hit], start[hit], n[hit] + LENGTH - 1, bucket[hit]))
             if not found:
                 continue
             doc, start, size, bucket = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -213,10 +252,15 @@ def context_rows(texts: DataFrame, buckets: int) -> DataFrame:
             for group in (np.flatnonzero(new), np.flatnonzero(~new)):
                 if not len(group):
                     continue
+                settled = not new[group[0]]
                 g = bucket[group]
+                if settled:  # needs no comparison any more, so a frequent passage's rows need not meet in its bucket
+                    g = (mix(ids[doc[group]].astype(np.uint64)) % _U(buckets)).astype(np.int64)
+                    order = np.argsort(g, kind="stable")
+                    group, g = group[order], g[order]
                 cuts = np.concatenate(([0], np.flatnonzero(g[1:] != g[:-1]) + 1, [len(g)]))
                 d, s, m = doc[group], start[group], size[group]
-                if new[group[0]]:
+                if not settled:
                     body = [b"".join(raw[x : x + y] for x, y in zip(s[a:z], m[a:z], strict=True)) for a, z in zip(cuts, cuts[1:], strict=False)]
                 else:
                     body = [b""] * (len(cuts) - 1)
@@ -273,8 +317,8 @@ def earlier_matches(body: np.ndarray, cuts: np.ndarray, docs: np.ndarray) -> tup
     return ctx[lpf], place[lpf]
 
 
-def bucket_intervals(t: pa.Table) -> pa.Table:
-    """One bucket: marked intervals by document, ``doc_id, kind, spans`` (pairs of start and end, packed)."""
+def bucket_intervals(t: pa.Table, buckets: int) -> pa.Table:
+    """One bucket: marked intervals (start, end), grouped for their documents."""
     lens, ids, kinds, starts = (np.concatenate(numbers(t[c], np.int64)) for c in ("lens", "ids", "kinds", "starts"))
     sizes = [len(v) for v in numbers(t["lens"], np.int64)]
     bodies = [v.as_py() for v in t["body"]]
@@ -311,10 +355,7 @@ def bucket_intervals(t: pa.Table) -> pa.Table:
             h = holders[np.arange(len(r)) - np.repeat(np.cumsum(times) - times, times) + left[r]]
             out.append((ids[h], kinds[h], starts[h] + lo[r], starts[h] + hi[r]))
     ids, kinds, lo, hi = (np.concatenate(x) for x in zip(*out, strict=True))
-    order, cuts = _by_key(ids, kinds)
-    first = order[cuts[:-1]] if len(order) else order
-    pairs = np.stack((lo[order], hi[order]), axis=1).reshape(-1).astype(np.int64)
-    return pa.table([pa.array(ids[first]), pa.array(kinds[first]), binaries(pairs, cuts * 2)], names=["doc_id", "kind", "spans"])
+    return grouped_rows(ids, kinds, np.stack((lo, hi), axis=1).astype(np.int64), buckets)
 
 
 def cut_out(texts: DataFrame) -> DataFrame:
@@ -325,7 +366,7 @@ def cut_out(texts: DataFrame) -> DataFrame:
             removed, spans, digest, runs = [], [], [], []
             for text, given in zip(b.column(2), b.column(3), strict=True):
                 data = text.as_py().encode()
-                pairs = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in given.values]).reshape(-1, 2)
+                pairs = np.frombuffer(given.as_buffer(), np.int64).reshape(-1, 2)
                 pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
                 reach = np.maximum.accumulate(pairs[:, 1])
                 new = np.flatnonzero(np.append(True, pairs[1:, 0] > reach[:-1]))
@@ -369,14 +410,12 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     buckets = max(partitions(spark), -(-total // BUCKET_BYTES))
 
     live = named.where((F.octet_length("text") >= LENGTH) & F.col("doc_id").isNotNull())
-    told = anchor_rows(live, buckets).groupBy("bucket").applyInArrow(shared_anchors, "doc_id long, kind long, hashes binary")
-    told = stored(told, "passage-anchors")
+    shared = anchor_rows(live, buckets).groupBy("bucket").applyInArrow(lambda t: shared_anchors(t, buckets), GROUPED)
+    told = stored(by_document(shared, "told", 1), "passage-anchors")
     copies = sizes.where("copy").select("doc_id", "kind").distinct()
-    lists = told.groupBy("doc_id", "kind").agg(F.collect_list("hashes").alias("told")).join(copies, ["doc_id", "kind"], "left_anti")
-    asked = live.join(lists, ["doc_id", "kind"]).select("doc_id", "kind", "text", "told")
-    marked = context_rows(asked, buckets).groupBy("bucket").applyInArrow(bucket_intervals, "doc_id long, kind long, spans binary")
-    marked = stored(marked, "passage-spans")
-    spans = marked.groupBy("doc_id", "kind").agg(F.collect_list("spans").alias("spans"))
+    asked = live.join(told.join(copies, ["doc_id", "kind"], "left_anti"), ["doc_id", "kind"]).select("doc_id", "kind", "text", "told")
+    marked = context_rows(asked, buckets).groupBy("bucket").applyInArrow(lambda t: bucket_intervals(t, buckets), GROUPED)
+    spans = stored(by_document(marked, "spans", 2), "passage-spans")
     cut = cut_out(live.join(spans, ["doc_id", "kind"]).select("doc_id", "kind", "text", "spans"))
     cut = stored(cut, "passage-cut").dropDuplicates(["doc_id", "kind"])
     out = sizes.join(cut, ["doc_id", "kind"], "left")
