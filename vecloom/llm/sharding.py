@@ -28,8 +28,8 @@ from .registry import query
 
 SHARDS = 16
 ROUNDS = 6
-#: A star holds at most this share of a shard's rows.
-CHUNKS_PER_SHARD = 8
+#: Stars that would fill a shard: a star holds at most the inverse of this of a shard's rows.
+CHUNKS_PER_SHARD = 2
 
 
 def star_edges(linked: DataFrame, chunk: int) -> DataFrame:
