@@ -110,7 +110,7 @@ def sample_documents(docs: DataFrame, topic: Column | None = None, seed: str = S
     rows = docs.withColumns({"_t": topic, "_salt": salt("doc_id")})
     on = [rows["source"].eqNullSafe(probs["_source"]), rows["lang"].eqNullSafe(probs["_lang"])]
     on += [rows["_t"].eqNullSafe(probs["_topic"]), rows["_salt"] == probs["_s"]]
-    return rows.join(probs, on).where(draw(F.col("doc_id"), seed) < F.col("_prob")).select(*[rows[c] for c in docs.columns])
+    return rows.join(probs, on).where(draw(F.col("doc_id"), seed) < F.col("_prob")).select(*[rows[f"`{c}`"] for c in docs.columns])
 
 
 def _oracle() -> str:
