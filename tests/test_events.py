@@ -171,10 +171,23 @@ def test_stream_waits_for_the_watermark_and_counts_late_rows(spark, tmp_path):
     got = ordered.read_parts(spark, out, "key string, ts timestamp, id bigint, run bigint")
     assert found(got) == [("k", 4, 2)]
     state = ordered.BatchState(spark, f"{ckpt}/runs", 3)
-    assert sorted(r["id"] for r in state.before("pending", schema).collect()) == [6, 7]
+    assert sorted(r["id"] for r in state.before("pending", schema).collect()) == [5, 6, 7]
+    assert [r["id"] for r in ordered.read_parts(spark, f"{ckpt}/late", schema).collect()] == [1]
+    ordered.finish_low_runs(spark, stream.schema, ["key"], out, ckpt, seconds=3)
+    assert found(ordered.read_parts(spark, out, "key string, ts timestamp, id bigint, run bigint")) == [("k", 4, 2), ("k", 7, 2)]
     batch = spark.createDataFrame([rows[0], rows[7]], schema)
     ready, late = ordered.in_order(batch, ordered.BatchState(spark, f"{ckpt}/runs", 3), 0)
-    assert late == 1 and sorted(r["id"] for r in ready.collect()) == [6, 7, 7]
+    assert [r["id"] for r in late.collect()] == [0] and sorted(r["id"] for r in ready.collect()) == [5, 6]
+
+
+def test_stream_keeps_rows_that_share_the_newest_timestamp(spark, tmp_path):
+    schema = "key string, ts timestamp, id bigint, value double"
+    out, path, ckpt = (str(tmp_path / n) for n in ("out", "in", "ckpt"))
+    for rows in ([(1, 1, 1.0), (2, 2, 1.0)], [(2, 3, 50.0), (3, 4, 1.0), (4, 5, 60.0)]):
+        stream = land(spark.createDataFrame([("k", at(t), i, v) for t, i, v in rows], schema), path)
+        ordered.stream_low_runs(stream, ["key"], out, ckpt, threshold=10, min_run=2, seconds=3).awaitTermination()
+    ordered.finish_low_runs(spark, stream.schema, ["key"], out, ckpt, threshold=10, min_run=2, seconds=3)
+    assert found(ordered.read_parts(spark, out, "key string, ts timestamp, id bigint, run bigint")) == [("k", 3, 2)]
 
 
 def test_retried_batch_gives_the_same_output(spark, tmp_path):
@@ -183,7 +196,7 @@ def test_retried_batch_gives_the_same_output(spark, tmp_path):
     state = ordered.BatchState(spark, ckpt, 0)
     df = readings(spark, [0.1, 0.1, 0.9])
     for _ in range(2):
-        ready, _ = ordered.in_order(df, state, 0)
+        ready, _ = ordered.in_order(df, state, 0, final=True)
         ordered.write_part(events.low_runs(ready, ["key"], seconds=10), out, 0)
     assert found(ordered.read_parts(spark, out, "key string, ts timestamp, id bigint, run bigint")) == [("k", 2, 2)]
 
@@ -210,6 +223,7 @@ def test_stream_gate_stays_open_between_batches(spark, tmp_path):
     for rows in batches:
         stream = land(spark.createDataFrame(rows, schema), path)
         ordered.stream_gated_marks(stream, out, ckpt).awaitTermination()
+    ordered.finish_gated_marks(spark, stream.schema, out, ckpt)
     assert marks(ordered.read_parts(spark, out, ordered.GATED_SCHEMA)) == [("a", 5, 1, 5)]
 
 

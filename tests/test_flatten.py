@@ -92,6 +92,8 @@ def test_huge_list_is_split(spark, tmp_path, indent):
     (tmp_path / "big.json").write_text(json.dumps(docs, indent=indent))
     (tmp_path / "other.json").write_text(" \n" + json.dumps([[{"k": [1, {"m": "}, "}]}, 7]] * 40))
     (tmp_path / "small.json").write_text(json.dumps({"one": 1}))
+    root = {"root": ["}, {", {"n": list(range(200))}]}
+    (tmp_path / "object.json").write_text("\n " + json.dumps(root, indent=indent))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
     try:
@@ -99,7 +101,7 @@ def test_huge_list_is_split(spark, tmp_path, indent):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     key = lambda d: json.dumps(d, sort_keys=True)
-    want = [*docs, *[[{"k": [1, {"m": "}, "}]}, 7]] * 40, {"one": 1}]
+    want = [*docs, *[[{"k": [1, {"m": "}, "}]}, 7]] * 40, {"one": 1}, root]
     assert sorted(key(json.loads(r[0])) for r in got) == sorted(map(key, want))
 
 

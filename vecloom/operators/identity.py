@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.keys import surrogate_key
-from .search import Matrix, scores, sliced, small_matrix, to_matrix, top_k
+from ..session import materialise
+from .search import Matrix, refuse_repeats, scores, sliced, small_matrix, to_matrix, top_k
 
 MATCH_THRESHOLD = 0.50
 UNKNOWN = "Unknown"
@@ -27,19 +28,22 @@ def match_gallery(
     Otherwise the name is "Unknown" with the best score, null for a zero vector. Equal scores go
     to the lower user id. A gallery of checked size is shipped to the probes, which are then
     matched where they lie, in batches and streams alike; a larger one is matched block by block.
+    Rows of a repeated ``probe_id`` are matched each; a repeated ``user_id`` is refused.
     """
+    refuse_repeats(gallery.where("embedding is not null"), "user_id")
     few = small_matrix(gallery, "user_id", "embedding", "name")
     if few is not None:
         return _match_in_place(probes, few, threshold, keep)
+    probes = materialise(probes.select("probe_id", *keep, "embedding").withColumn("__row__", F.monotonically_increasing_id()), "probes")
     best = top_k(
-        probes.select(F.col("probe_id").alias("query_id"), F.col("embedding").alias("query")),
+        probes.select(F.col("__row__").alias("query_id"), F.col("embedding").alias("query")),
         gallery.select(F.col("user_id").alias("id"), "embedding"),
         k=1,
         metric="cosine",
     )
-    named = best.join(gallery.select(F.col("user_id").alias("id"), "name"), "id").withColumnRenamed("query_id", "probe_id")
+    named = best.join(gallery.select(F.col("user_id").alias("id"), "name"), "id").withColumnRenamed("query_id", "__row__")
     hit = F.col("score") > threshold
-    return probes.select("probe_id", *keep).join(named, "probe_id", "left").select(
+    return probes.select("__row__", "probe_id", *keep).join(named, "__row__", "left").select(
         "probe_id",
         *keep,
         F.when(hit, F.col("id")).alias("user_id"),

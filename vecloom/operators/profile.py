@@ -54,13 +54,17 @@ def profile_columns(df: DataFrame, ordinal: Column | str, columns: Sequence[str]
     digest = F.when(long_value, F.concat(F.lit("#"), F.sha1("value"), F.length("value"))).otherwise(F.col("value"))
     counted = (
         cells.groupBy("slot", digest.alias("digest"))
-        .agg(F.count("*").alias("n"))
+        .agg(
+            F.count("*").alias("n"),
+            F.bool_and(F.col("value").rlike(NUMBER)).alias("numbers"),
+            F.bool_and(F.col("value").isin(*FLAGS)).alias("flags"),
+        )
         .groupBy("slot")
         .agg(
             F.sum("n").alias("non_null"),
             F.count("*").alias("distinct"),
-            F.bool_and(F.col("digest").rlike(NUMBER)).alias("numbers"),
-            F.bool_and(F.col("digest").isin(*FLAGS)).alias("flags"),
+            F.bool_and("numbers").alias("numbers"),
+            F.bool_and("flags").alias("flags"),
         )
     )
 

@@ -154,9 +154,11 @@ def top_k(
     queries: DataFrame, vectors: DataFrame, k: int = 10, metric: str = "ip", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Exact ``(query_id, id, score, rank)``: inner product and cosine descending, squared L2
-    ascending. Fewer than k rows where there are fewer vectors; zero vectors have no cosine."""
+    ascending. Fewer than k rows where there are fewer vectors; zero vectors have no cosine.
+    A repeated ``query_id`` is refused: its rows could not be told apart in the result."""
     _check(k, metric)
     queries = queries.select("query_id", "query").where("query is not null")
+    refuse_repeats(queries, "query_id")
     vectors = vectors.select("id", "embedding").where("embedding is not null")
     few = small_matrix(queries, "query_id", "query")
     if few is not None:
@@ -170,6 +172,12 @@ def top_k(
     )
 
 
+def refuse_repeats(df: DataFrame, key: str) -> None:
+    repeated = df.groupBy(key).count().where("count > 1").select(key).first()
+    if repeated is not None:
+        raise ValueError(f"{key} {repeated[0]!r} stands in several rows")
+
+
 def _ranked(hits: DataFrame, k: int, metric: str) -> DataFrame:
     """Merge the tasks' candidates, whose number depends on k and the tasks, not on the data."""
     w = W.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
@@ -263,15 +271,13 @@ def _blocked(queries: DataFrame, vectors: DataFrame, k: int, metric: str, block_
 # cluster-pruned search
 
 
-def train_centroids(vectors: DataFrame, cells: int, sample_rows: int = 200_000, seed: int = 42) -> np.ndarray:
-    """k-means centres from a sample of the whole table; ``cells`` x dim doubles on the driver."""
+def train_centroids(vectors: DataFrame, cells: int, seed: int = 42) -> np.ndarray:
+    """k-means centres of the whole table; ``cells`` x dim doubles on the driver."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     rows = vectors.where("embedding is not null").select("embedding")
     n = rows.count()
-    if n > sample_rows:
-        rows = rows.sample(fraction=sample_rows / n, seed=seed)
     features = rows.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     model = KMeans(k=max(1, min(cells, n)), seed=seed, maxIter=10).fit(features)
     return np.array(model.clusterCenters())
@@ -324,6 +330,7 @@ class CellIndex:
         """Approximate top-k from the ``nprobe`` nearest cells; exact when all cells are probed."""
         _check(k, metric)
         queries = queries.select("query_id", "query").where("query is not null")
+        refuse_repeats(queries, "query_id")
         probing = nearest_cells(queries, "query", self.centroids, nprobe)
         few = small_matrix(queries, "query_id", "query")
         if few is None:
@@ -395,6 +402,7 @@ def hashed_top_k(
     """
     _check(k, metric)
     queries = queries.select("query_id", "query").where("query is not null")
+    refuse_repeats(queries, "query_id")
     vectors = vectors.select("id", "embedding").where("embedding is not null")
     near = _blocked(
         signatures(queries, "query", tables, bits, seed, probes),

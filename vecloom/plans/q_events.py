@@ -167,10 +167,11 @@ def _replay(df: DataFrame, by: str) -> DataFrame:
 
 
 def _landings(df: DataFrame, path: str):
-    """``df`` as two landings in time order, one stream run after each."""
+    """``df`` as two landings in time order, which share the timestamp they meet at, one stream run after each."""
     middle = df.agg(F.percentile_approx(F.unix_micros("ts"), 0.5)).first()[0]
     for late in (False, True):
-        df.where((F.unix_micros("ts") > middle) == F.lit(late)).write.mode("append").parquet(path)
+        second = (F.unix_micros("ts") > middle) | ((F.unix_micros("ts") == middle) & (F.pmod(F.xxhash64(*df.columns), F.lit(2)) == 1))
+        df.where(second == F.lit(late)).write.mode("append").parquet(path)
         yield df.sparkSession.readStream.schema(df.schema).parquet(path)
 
 
@@ -180,6 +181,7 @@ def stream_low_run(spark, sf):
     out, path = scratch(spark, "runs"), scratch(spark, "landing")
     for stream in _landings(readings(spark, sf), path):
         ordered.stream_low_runs(stream, ["user_id"], out, f"{path}-ckpt", LOW).awaitTermination()
+    ordered.finish_low_runs(spark, stream.schema, ["user_id"], out, f"{path}-ckpt", LOW)
     return _run_rows(ordered.read_parts(spark, out, "user_id bigint, ts timestamp, id bigint, run bigint"))
 
 
@@ -245,4 +247,5 @@ def stream_gated_marks(spark, sf):
     path = scratch(spark, "landing")
     for stream in _landings(frames, path):
         ordered.stream_gated_marks(stream, out, f"{path}-ckpt", LOW).awaitTermination()
+    ordered.finish_gated_marks(spark, stream.schema, out, f"{path}-ckpt", LOW)
     return ordered.read_parts(spark, out, ordered.GATED_SCHEMA).select("site", "frame", "user_id", "date")

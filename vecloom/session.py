@@ -27,6 +27,10 @@ def local_session(app: str = "vecloom", cores: str = "*", shuffle_partitions: in
     )
 
 
+#: Temporary roots of local sessions, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """Root of the folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
@@ -40,9 +44,10 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="vecloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="vecloom-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch(spark: SparkSession, label: str) -> str:

@@ -1,6 +1,6 @@
 """JSON scan into one VARIANT per record, also out of one huge list.
 
-A file up to a size is parsed whole. A larger one has to be a root list: it is cut at ``},`` and pieces are
+A file up to a size, and any file that is no list, is parsed whole. A larger list is cut at ``},`` and pieces are
 joined to list elements. Whether a cut lies inside a string, and how deep it lies, follows from
 prefix compositions over the pieces (see :mod:`.pieces`).
 """
@@ -31,11 +31,16 @@ def scan_json(
     reader = spark.read.options(singleVariantColumn="v", multiLine=not lines, mode="FAILFAST")
     if lines:
         return records(reader.json(paths))
-    small = reader.json(paths).where(F.col("_metadata.file_size") <= whole_file_bytes).select("v")
+    large = F.col("_metadata.file_size") > whole_file_bytes
     files = spark.read.format("binaryFile").load(paths).select("path", "length")
-    if not files.where(F.col("length") > whole_file_bytes).isEmpty():
-        small = small.unionByName(_split_lists(spark, paths, whole_file_bytes))
-    return records(small)
+    if files.where(F.col("length") > whole_file_bytes).isEmpty():
+        return records(reader.json(paths).select("v"))
+    # a large file that begins with a brace is one record, which nothing can split: it is parsed whole too
+    first = F.substring(F.regexp_replace("body", r"\A\s+", ""), 1, 1)
+    heads = read_pieces(spark, paths, CUT, large).groupBy("source").agg(F.min_by(first, F.struct("block", "seq")).alias("head"))
+    single = F.col("_metadata.file_path").isin([r["source"] for r in heads.where("head <> '['").collect()])
+    whole = reader.json(paths).where(~large | single).select("v")
+    return records(whole.unionByName(_split_lists(spark, paths, large & ~single)))
 
 
 def records(df: DataFrame, column: str = "v") -> DataFrame:
@@ -45,9 +50,9 @@ def records(df: DataFrame, column: str = "v") -> DataFrame:
     return df.select(each.alias("v")).select(F.monotonically_increasing_id().alias("rec_id"), "v")
 
 
-def _split_lists(spark: SparkSession, paths: list[str], whole_file_bytes: int) -> DataFrame:
+def _split_lists(spark: SparkSession, paths: list[str], files: Column) -> DataFrame:
     """Parts of the large root lists, each a short list in itself."""
-    pieces = read_pieces(spark, paths, CUT, F.col("_metadata.file_size") > whole_file_bytes)
+    pieces = read_pieces(spark, paths, CUT, files)
     # a backslash stands only inside strings, so what it escapes can go before quotes are counted
     bare = F.regexp_replace("body", r"\\.|\\$", "")
     quotes = F.length(F.regexp_replace(bare, '[^"]', "")) % 2

@@ -59,27 +59,43 @@ def read_parts(spark: SparkSession, out: str, schema: StructType | str, before:
 
 
 def in_order(
-    rows: DataFrame, state: BatchState, delay_seconds: float, ts: str = "ts"
-) -> tuple[DataFrame, int]:
-    """``(ready, late)``: rows at or behind the watermark, held-back ones included, and the
-    number of rows that came too late. The watermark trails the newest row by the delay."""
+    rows: DataFrame, state: BatchState, delay_seconds: float, ts: str = "ts", final: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """``(ready, late)``: rows strictly before the watermark, held-back ones included, and rows that were
+    before the last watermark already. The watermark trails the newest row by the delay; rows at it
+    wait, since others of the same time may follow. ``final`` makes everything ready."""
     before = state.before("watermark", "micros bigint").first()
     mark = before["micros"] if before and before["micros"] is not None else None
     micros = F.unix_micros(ts)
-    on_time = rows if mark is None else rows.where(micros > mark)
-    pending = state.before("pending", rows.schema)
-    late = 0 if mark is None else rows.where(micros <= mark).count()
-    both = pending.unionByName(on_time)
+    late = rows.limit(0) if mark is None else rows.where(micros < mark)
+    on_time = rows if mark is None else rows.where(micros >= mark)
+    both = state.before("pending", rows.schema).unionByName(on_time)
     newest = both.agg(F.max(micros)).first()[0]
     if newest is not None:
         newest -= int(delay_seconds * 1_000_000)
         mark = newest if mark is None else max(mark, newest)
     state.save("watermark", state.spark.createDataFrame([(mark,)], "micros bigint"))
-    if mark is None:
-        state.save("pending", both)
-        return both.limit(0), late
-    state.save("pending", both.where(micros > mark))
-    return both.where(micros <= mark), late
+    if final or mark is None:
+        state.save("pending", both.limit(0))
+        return both, late
+    state.save("pending", both.where(micros >= mark))
+    return both.where(micros < mark), late
+
+
+def write_late(late: DataFrame, checkpoint: str, batch_id: int) -> None:
+    """Rows that came after their time are kept beside the checkpoint, by batch."""
+    write_part(late, f"{checkpoint}/late", batch_id)
+
+
+def _finish(spark: SparkSession, schema: StructType | str, states: str, step: Callable[..., None]) -> None:
+    """One last step without new rows, after the last batch that left a state; the stream must have ended for good."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(states)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return
+    done = [int(f.getPath().getName()) for f in files.listStatus(root)]
+    if done:
+        step(spark.createDataFrame([], schema), max(done) + 1, final=True)
 
 
 def _run(
@@ -107,12 +123,35 @@ def stream_low_runs(
     seconds: int | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Run-length events of a stream ``(keys, ts, id, value)``, written to ``out``."""
+    """Run-length events of a stream ``(keys, ts, id, value)``, written to ``out``.
+
+    Rows at the watermark wait for the next batch; :func:`finish_low_runs` takes the last ones.
+    """
+    step = _low_run_step(keys, out, checkpoint, threshold, min_run, delay_seconds, seconds)
+    return _run(readings, checkpoint, step, trigger)
+
+
+def finish_low_runs(
+    spark: SparkSession,
+    schema: StructType | str,
+    keys: Sequence[str],
+    out: str,
+    checkpoint: str,
+    threshold: float = events.LOW_THRESHOLD,
+    min_run: int = events.MIN_RUN,
+    seconds: int | None = None,
+) -> None:
+    """Events of the rows still held back, once a stream of ``schema`` has ended for good."""
+    _finish(spark, schema, f"{checkpoint}/runs", _low_run_step(keys, out, checkpoint, threshold, min_run, 0.0, seconds))
+
+
+def _low_run_step(keys, out, checkpoint, threshold, min_run, delay_seconds, seconds) -> Callable[..., None]:
     keys = list(keys)
 
-    def step(batch: DataFrame, batch_id: int) -> None:
+    def step(batch: DataFrame, batch_id: int, final: bool = False) -> None:
         state = BatchState(batch.sparkSession, f"{checkpoint}/runs", batch_id)
-        ready, _ = in_order(batch.select(*keys, "ts", "id", "value"), state, delay_seconds)
+        ready, late = in_order(batch.select(*keys, "ts", "id", "value"), state, delay_seconds, final=final)
+        write_late(late, checkpoint, batch_id)
         open_schema = StructType([*[batch.schema[k] for k in keys]]).add("run", "long")
         carry = state.before("open", open_schema)
         width = events.slice_seconds(ready, keys) if seconds is None else seconds
@@ -121,7 +160,7 @@ def stream_low_runs(
         state.save("open", events.open_runs(ready, keys, threshold, width, carry).select(*keys, F.col("run").cast("long").alias("run")))
         state.forget()
 
-    return _run(readings, checkpoint, step, trigger)
+    return step
 
 
 MARK_SCHEMA = "user_id bigint, date date, ts timestamp, id bigint"
@@ -181,12 +220,31 @@ def stream_gated_marks(
     user ids of a frame in order (null where unknown).
 
     Kept between batches: open runs, sites whose gate stands open, and the marks themselves.
+    Rows at the watermark wait for the next batch; :func:`finish_gated_marks` takes the last ones.
     """
+    step = _gate_step(out, checkpoint, threshold, min_run, delay_seconds, seconds)
+    return _run(frames, checkpoint, step, trigger)
 
-    def step(batch: DataFrame, batch_id: int) -> None:
+
+def finish_gated_marks(
+    spark: SparkSession,
+    schema: StructType | str,
+    out: str,
+    checkpoint: str,
+    threshold: float = events.LOW_THRESHOLD,
+    min_run: int = events.MIN_RUN,
+    seconds: int = events.SLICE_SECONDS,
+) -> None:
+    """Marks of the rows still held back, once a stream of ``schema`` has ended for good."""
+    _finish(spark, schema, f"{checkpoint}/gates", _gate_step(out, checkpoint, threshold, min_run, 0.0, seconds))
+
+
+def _gate_step(out, checkpoint, threshold, min_run, delay_seconds, seconds) -> Callable[..., None]:
+    def step(batch: DataFrame, batch_id: int, final: bool = False) -> None:
         spark = batch.sparkSession
         state = BatchState(spark, f"{checkpoint}/gates", batch_id)
-        ready, _ = in_order(batch.select("site", "ts", "frame", "value", "faces"), state, delay_seconds)
+        ready, late = in_order(batch.select("site", "ts", "frame", "value", "faces"), state, delay_seconds, final=final)
+        write_late(late, checkpoint, batch_id)
         readings = ready.select("site", "ts", F.col("frame").alias("id"), "value")
         carry = state.before("open", "site string, run bigint")
         events_now = events.low_runs(readings, ["site"], threshold, min_run, seconds, carry).select(
@@ -213,4 +271,4 @@ def stream_gated_marks(
         state.save("open", run.select("site", F.col("run").cast("bigint").alias("run")))
         state.forget()
 
-    return _run(frames, checkpoint, step, trigger)
+    return step
