@@ -232,3 +232,21 @@ def test_searchers_by_factory_name(spark, tmp_path):
     own = spark.createDataFrame([(1, "red box", 1), (2, "bag", 3), (3, " ", 9)], "query_id bigint, q string, k int")
     counts = {r["query_id"]: r["count"] for r in jobs.search_texts(own, store).groupBy("query_id").count().collect()}
     assert counts == {1: 1, 2: 3}
+
+
+def test_repeated_ids(spark):
+    v = frame(spark, np.eye(4), "id", "embedding")
+    q = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0, 0.0])], "query_id bigint, query array<float>")
+    with pytest.raises(ValueError, match="query_id"):
+        search.top_k(q, v, 2)
+
+
+def test_repeated_probes_are_matched_each_on_both_paths(spark, monkeypatch):
+    gallery = spark.createDataFrame([(k, f"u{k}", [float(k == j) for j in range(4)]) for k in range(4)], "user_id bigint, name string, embedding array<float>")
+    probes = spark.createDataFrame([(7, [1.0, 0.0, 0.0, 0.0]), (7, [0.0, 0.0, 1.0, 0.0])], "probe_id bigint, embedding array<float>")
+    rows = lambda: sorted((r["probe_id"], r["user_id"]) for r in identity.match_gallery(probes, gallery).collect())
+    assert rows() == [(7, 0), (7, 2)]
+    monkeypatch.setattr(search, "MAX_BROADCAST_ROWS", 1)
+    assert rows() == [(7, 0), (7, 2)]
+    with pytest.raises(ValueError, match="user_id"):
+        identity.match_gallery(probes, gallery.unionByName(gallery))

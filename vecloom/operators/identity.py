@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.keys import surrogate_key
 from ..session import materialise
+from ..sources.store import tie_break
 from .search import Matrix, refuse_repeats, scores, sliced, small_matrix, to_matrix, top_k
 
 MATCH_THRESHOLD = 0.50
@@ -89,8 +90,8 @@ def _match_in_place(probes: DataFrame, few: Matrix, threshold: float, keep: Sequ
 
 
 def register_new(incoming: DataFrame, users: DataFrame, seq: str) -> DataFrame:
-    """Users to add: names not yet present, the earliest per name, with a stable new id."""
-    w = W.partitionBy("name").orderBy(seq)
+    """Users to add: names not yet present, the earliest per name (of equal ones the lowest content hash), with a stable new id."""
+    w = W.partitionBy("name").orderBy(F.col(seq), tie_break(incoming))
     first = incoming.withColumn("__rn__", F.row_number().over(w)).where("__rn__ = 1").drop("__rn__")
     fresh = first.join(users.select("name"), "name", "left_anti")
     return fresh.withColumn("user_id", surrogate_key("name"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -20,10 +20,16 @@ ROW_SCHEMA = META_SCHEMA + ", embedding array<float>"
 ROW_COLUMNS = ["id", "source", "table_name", "row_id", "position", "text", "embedding"]
 
 
+def tie_break(df: DataFrame) -> Column:
+    """A hash of a row's contents (maps and variants apart): settles equal positions alike in every run."""
+    kinds = ("map", "variant")
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not any(k in f.dataType.simpleString() for k in kinds)])
+
+
 def last_wins(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    """One row per key, the one with the highest ``seq``. Spark limits groups before the shuffle,
-    so many copies of one key do not meet in a task."""
-    w = W.partitionBy(*keys).orderBy(F.col(seq).desc())
+    """One row per key, the one with the highest ``seq``, of equal ones the one with the highest content hash.
+    Spark limits groups before the shuffle, so many copies of one key do not meet in a task."""
+    w = W.partitionBy(*keys).orderBy(F.col(seq).desc(), tie_break(df).desc())
     return df.withColumn("__rn__", F.row_number().over(w)).where("__rn__ = 1").drop("__rn__")
 
 
