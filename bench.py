@@ -56,7 +56,7 @@ def main() -> None:
         return time.perf_counter() - start
 
     # start the JVM's and the Python workers' engines on one cheap query of each kind
-    for warm in ("min_len_filter", "clean_html"):
+    for warm in ("min_len_filter", "clean_html", "embed_documents", "match_gallery"):
         timed(warm)
     seconds = {name: round(timed(name), 3) for name in names}
     print(
