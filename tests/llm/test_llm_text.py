@@ -230,6 +230,28 @@ class TestNearDuplicates:
         got = minhash.near_duplicates(docs, 3, 85).collect()
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == near_brute(pairs(docs), 3, 85)
 
+    def test_hot_template(self, spark, monkeypatch):
+        """Pairs of near copies among many texts that share most shingles, but too few for a link."""
+        import random
+
+        rng = random.Random(5)
+        base, rows = fx.words(rng, 100).split(), []
+        for k in range(150):
+            one = list(base)
+            for at in rng.sample(range(1, 96, 4), 2):
+                one[at : at + 2] = [f"x{k}.{at}", f"y{k}.{at}"]
+            two = list(one)
+            for at in rng.sample(range(3, 98, 4), 2):
+                two[at] = f"q{k}.{at}"
+            rows += [(2 * k, " ".join(one), None, None, None), (2 * k + 1, " ".join(two), None, None, None)]
+        want = near_brute([r[:2] for r in rows], 3, 85)
+        assert len(set(want.values())) > 100
+        # no round finds a link: what is left is found by prefix groups alone, listed or in blocks
+        monkeypatch.setattr(minhash, "buckets", lambda r, f=minhash.buckets: f(r) if "at" in r.columns else f(r).where("n < 0"))
+        monkeypatch.setattr(minhash, "LISTED", 16)
+        got = minhash.near_duplicates(fx.documents(spark, rows), 3, 85).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
     def test_nulls_repeats_empty(self, spark):
         rows = [(None, "a b c d", None, None, None), (4, "a b c d", None, None, None), (4, "a b c d", None, None, None), (5, "A b  c D", None, None, None)]
         got = minhash.near_duplicates(fx.documents(spark, rows), 3, 85).collect()
