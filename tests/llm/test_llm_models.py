@@ -131,6 +131,20 @@ class TestSecrets:
             "/usr/local/share/doc/package/readme/index", "1111111111222222222233333333334444444444", "a" * 500_000,
         ]
 
+    def test_values_and_parts_of_runs(self, spark):
+        rng = random.Random(21)
+        chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+        while True:  # secrets that the battery holds for random with room to spare
+            one, two, three = ("".join(rng.choice(chars) for _ in range(40)) for _ in range(3))
+            if all(secret_scan.battery(x)[1] > 0.5 for x in (one, two, three)):
+                break
+        texts = [f"AWS_ACCESS_KEY_ID={one}", f"see ?sig={two}= there", f"https://host/static/files/{three}/index_of_all_words_here"]
+        found = [(one, 18), (two + "=", 9), (three, texts[2].index(three))]
+        got = secret_scan.find_secrets(fx.documents(spark, [(k, t, None, None, None) for k, t in enumerate(texts)])).collect()
+        spans = {r["doc_id"]: [(x["start"], x["end"]) for x in r["spans"]] for r in got}
+        for k, (secret, start) in enumerate(found):
+            assert (start, start + len(secret)) in spans[k]
+
     def test_base_spans_and_battery(self, spark):
         texts = self.texts()
         got = {r["doc_id"]: r for r in secret_scan.find_secrets(fx.documents(spark, [(k, t, None, None, None) for k, t in enumerate(texts)])).collect()}

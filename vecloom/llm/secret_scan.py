@@ -2,7 +2,9 @@
 
 Base spans are the leftmost non-overlapping matches of each pattern (assign, access, hex), minus matches that are too short.
 
-The battery looks at tokens, maximal runs of ``[A-Za-z0-9+/_=-]`` of ``MIN_TOKEN`` characters or more. The narrowest encoding that
+The battery looks at tokens of ``MIN_TOKEN`` characters or more: maximal runs of ``[A-Za-z0-9+/_-]`` (``=`` only as padding
+at the end of a run, elsewhere it separates name and value), and the parts of such a run between ``/``, ``-`` and ``_``. A part is a
+span of its own if it passes and its run does not. The narrowest encoding that
 holds all characters of a token is inferred (hex, base32, base36, base64), and three tests compare it with random
 characters of that encoding: chi-squared uniformity of ranges of the alphabet and of kinds of characters, a runs test on the
 upper and lower half of the alphabet, and lag-one serial correlation of the symbols' places. The three are combined by Fisher's
@@ -46,7 +48,9 @@ _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _ASSIGN = re.compile(rb"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([a-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _HEX = re.compile(rb"[0-9a-f]{24,}")
-_TOKEN = re.compile(rb"[A-Za-z0-9+/_=-]{%d,}" % MIN_TOKEN)
+_RUN = re.compile(rb"[A-Za-z0-9+/_=-]{%d,}" % MIN_TOKEN)
+_PIECE = re.compile(rb"[A-Za-z0-9+/_-]+(?:=+\Z)?")
+_PART = re.compile(rb"[A-Za-z0-9+]+(?:=+\Z)?")
 
 
 def _mask(chars: bytes) -> bytes:
@@ -161,6 +165,21 @@ def base_spans(data: bytes) -> list[tuple[int, int, str]]:
     return out
 
 
+def tokens_of(data: bytes) -> list[tuple[int, int, int]]:
+    """(start, end, place of the token that it is a part of, or -1) in bytes."""
+    out = []
+    for run in _RUN.finditer(data):
+        for m in _PIECE.finditer(run.group()):
+            start, whole = run.start() + m.start(), len(out)
+            if len(m.group()) < MIN_TOKEN:
+                continue
+            out.append((start, start + len(m.group()), -1))
+            for part in _PART.finditer(m.group()):
+                if MIN_TOKEN <= len(part.group()) < len(m.group()):
+                    out.append((start + part.start(), start + part.end(), whole))
+    return out
+
+
 def _strata(name: str, n: int) -> int:
     return NAMES.index(name) * LENGTH_CLASSES + min(LENGTH_CLASSES - 1, int(2 * math.log2(n / MIN_TOKEN)) if n > MIN_TOKEN else 0)
 
@@ -169,19 +188,21 @@ def scanned(docs: DataFrame) -> DataFrame:
     """``doc_id, base, tokens``: spans in code points; tokens with stratum, bin of -log10 p, and whether long enough."""
     base_type = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
     token_type = pa.list_(
-        pa.struct([("start", pa.int64()), ("end", pa.int64()), ("stratum", pa.int32()), ("bin", pa.int32()), ("long", pa.bool_())])
+        pa.struct([("start", pa.int64()), ("end", pa.int64()), ("stratum", pa.int32()), ("bin", pa.int32()), ("long", pa.bool_()), ("whole", pa.int32())])
     )
 
     def spans_of(data: bytes):
         base = base_spans(data)
         tokens = []
         if b"1" * MIN_TOKEN in data.translate(_TOKEN_CHARS):
-            for m in _TOKEN.finditer(data):
-                if any(s < m.end() and m.start() < e for s, e, _ in base):
+            places = {}  # of the tokens that are judged
+            for k, (start, end, whole) in enumerate(tokens_of(data)):
+                if any(s < end and start < e for s, e, _ in base):
                     continue
-                name, p, bits = battery(m.group().decode())
+                name, p, bits = battery(data[start:end].decode())
                 low = min(BINS - 1, int(-10 * math.log10(p))) if p > 0 else BINS - 1
-                tokens.append((m.start(), m.end(), _strata(name, m.end() - m.start()), low, bits >= MIN_BITS))
+                places[k] = len(tokens)
+                tokens.append((start, end, _strata(name, end - start), low, bits >= MIN_BITS, places.get(whole, -1)))
         if not base and not tokens:
             return [], []
         wide = not data.isascii()
@@ -195,7 +216,7 @@ def scanned(docs: DataFrame) -> DataFrame:
             at = range(len(data) + 1)
         return (
             [{"start": at[s], "kind": KINDS.index(k), "end": at[e]} for s, e, k in base],
-            [{"start": at[t[0]], "end": at[t[1]], "stratum": t[2], "bin": t[3], "long": t[4]} for t in tokens],
+            [{"start": at[t[0]], "end": at[t[1]], "stratum": t[2], "bin": t[3], "long": t[4], "whole": t[5]} for t in tokens],
         )
 
     def scan(batches):
@@ -209,7 +230,7 @@ def scanned(docs: DataFrame) -> DataFrame:
 
     schema = (
         "doc_id long, base array<struct<start: long, kind: int, end: long>>, "
-        "tokens array<struct<start: long, end: long, stratum: int, bin: int, long: boolean>>"
+        "tokens array<struct<start: long, end: long, stratum: int, bin: int, long: boolean, whole: int>>"
     )
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, schema)
 
@@ -237,8 +258,15 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     cuts = rejections([tuple(r) for r in seen.collect()], fdr)  # strata x BINS rows at most
     if cuts:
         cut = F.create_map(*[F.lit(int(x)) for pair in sorted(cuts.items()) for x in pair])
+
+        def passes(t):
+            return t["long"] & (t["bin"] < cut[t["stratum"]])
+
+        def whole_passes(t):
+            return (t["whole"] >= 0) & passes(F.get("tokens", F.greatest(t["whole"], F.lit(0))))
+
         random = F.transform(
-            F.filter("tokens", lambda t: t["long"] & (t["bin"] < cut[t["stratum"]])),
+            F.filter("tokens", lambda t: passes(t) & ~whole_passes(t)),
             lambda t: F.struct(t["start"].alias("start"), F.lit(KINDS.index("random")).alias("kind"), t["end"].alias("end")),
         )
         spans = F.concat("base", random)
