@@ -131,6 +131,29 @@ class TestSecrets:
             "/usr/local/share/doc/package/readme/index", "1111111111222222222233333333334444444444", "a" * 500_000,
         ]
 
+    def test_recall_among_junk(self):
+        """Secrets planted among thousands of word chains of their strata."""
+        rng = random.Random(33)
+        letters, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+        shapes = [(letters.upper() + letters + digits, 20), (letters.upper() + letters + digits, 40), (digits + "ABCDEF", 24), (letters + digits, 32)]
+        judged = []  # secret or not, stratum, bin, long enough
+        for chars, n in shapes:
+            secrets = ["".join(rng.choice(chars) for _ in range(n)) for _ in range(300)]
+            name = secret_scan.battery(secrets[0])[0]
+            for token in secrets:
+                _, p, bits = secret_scan.battery(token)
+                judged.append((True, secret_scan._strata(name, n), min(secret_scan.BINS - 1, int(-10 * np.log10(p))), bits >= secret_scan.MIN_BITS))
+            judged += [(False, secret_scan._strata(name, n), 120, True)] * 6000
+        counts: dict = {}
+        for _, stratum, low, _ in judged:
+            counts[stratum, low] = counts.get((stratum, low), 0) + 1
+        cuts = secret_scan.rejections([(*k, n) for k, n in counts.items()], secret_scan.FDR)
+        found = [long and low < cuts[stratum] for secret, stratum, low, long in judged if secret]
+        for k in range(len(shapes)):
+            part = found[300 * k : 300 * (k + 1)]
+            assert sum(part) >= 0.97 * len(part)
+        assert not any(low < cuts[stratum] for secret, stratum, low, _ in judged if not secret)
+
     def test_values_and_parts_of_runs(self, spark):
         rng = random.Random(21)
         chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"

@@ -11,8 +11,8 @@ upper and lower half of the alphabet, and lag-one serial correlation of the symb
 method and by Bonferroni's, so that one clear failure is enough.
 A token that is no secret (a word chain, a path, a counter) fails them: each test rejects randomness. The decision is made for
 all tokens of the corpus together: per encoding and length class, Benjamini-Hochberg at level ``FDR`` picks the tokens whose
-randomness is rejected; what is left and is long enough for the battery to have power (``MIN_BITS`` bits of
-possible content) is a span of kind ``random``. Strata by length keep the many short tokens from setting the
+randomness is rejected, but none whose p-value is above ``MOST_P``: however many junk tokens share a stratum, a random token is
+lost with that chance at most. What is left and has ``MIN_BITS`` bits of possible content is a span of kind ``random``. Strata by length keep the many short tokens from setting the
 threshold of the few long ones.
 
 Only p-value histograms (encodings x length classes x ``BINS`` numbers) reach the driver, texts are read once.
@@ -38,8 +38,10 @@ from .registry import query
 
 KINDS = ("assign", "access", "hex", "random")
 MIN_TOKEN = 20
-MIN_BITS = 128
+#: The bits of ``MIN_TOKEN`` hex digits, the least of any encoding.
+MIN_BITS = 80
 FDR = 0.2
+MOST_P = 0.01
 #: Bins of -log10 p, a tenth each; the last takes all that is smaller.
 BINS = 200
 
@@ -236,7 +238,7 @@ def scanned(docs: DataFrame) -> DataFrame:
 
 
 def rejections(counts: list[tuple[int, int, int]], fdr: float) -> dict[int, int]:
-    """Per stratum the least bin of -log10 p at which Benjamini-Hochberg rejects randomness (``BINS``: none)."""
+    """Per stratum the least bin of -log10 p at which Benjamini-Hochberg rejects randomness (``BINS``: none), above ``MOST_P`` in no case."""
     strata: dict[int, list[int]] = {}
     for stratum, low, n in counts:
         strata.setdefault(stratum, [0] * BINS)[low] += n
@@ -247,7 +249,7 @@ def rejections(counts: list[tuple[int, int, int]], fdr: float) -> dict[int, int]
             seen += bins[low]
             if 10 ** (-low / 10) <= fdr * seen / total:
                 cut = low
-        out[stratum] = cut
+        out[stratum] = max(cut, round(-10 * math.log10(MOST_P)))
     return out
 
 
