@@ -101,6 +101,15 @@ class TestSharding:
         got = sharding.shard_documents(fx.documents(spark, rows), 3).collect()
         assert len(got) == 9 and sorted(Counter(r["shard"] for r in got).values()) == [3, 3, 3]
 
+    def test_small_stars_meet(self, spark):
+        pairs_ = [(g + 1000, g, 1.0) for g in range(1000)]
+        tens = [(10000 + g * 10 + k, 10000 + g * 10, 1.0) for g in range(200) for k in range(1, 10)]
+        edges = spark.createDataFrame(pairs_ + tens, "src long, dst long, weight double")
+        nodes = edges.selectExpr("src as rid").union(edges.selectExpr("dst as rid")).distinct()
+        label = dict(sharding.propagate(nodes, edges, 16, 250).collect())
+        assert sum(label[a] != label[b] for a, b, _ in pairs_) < 0.6 * len(pairs_)
+        assert sum(label[a] != label[b] for a, b, _ in tens) < 0.6 * len(tens)
+
     def test_empty(self, spark):
         assert sharding.shard_documents(fx.empty(spark)).count() == 0
 

@@ -2,7 +2,8 @@
 
 Documents that are linked get labels (shards) by propagation: in each round a document asks for the shard that holds most
 of the weight of its links, and as many requests are granted per pair of shards as keep every shard within its
-quota: requests in both directions are exchanged, the rest goes into free room. Unlinked documents
+quota: requests in both directions are exchanged, the rest goes into free room. In a round either a star's leaves ask or its
+hub does, so that the two never swap labels: half of the stars begin with the leaves, and all change over in the next round. Unlinked documents
 have no edge to cut; they fill the shards up to counts that differ by at most one.
 
 Links are a star per group of equal texts, not its pairs. A group larger than ``chunk`` rows is cut into chunks, each with
@@ -54,21 +55,30 @@ def propagate(nodes: DataFrame, edges: DataFrame, shards: int, quota: int, round
     Every round costs one join of the edges with the labels and one aggregation by node; requests per pair of
     shards are ``shards`` squared numbers, from which the driver sets the granted share of each pair.
     """
-    both = stored(edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")), "shard-edges")
+    both = stored(edges.withColumn("hub", F.lit(False)).unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight", F.lit(True).alias("hub"))), "shard-edges")
     labels = stored(nodes.select("rid", F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int").alias("label")), "shard-labels")
+    idle = False
     for turn in range(rounds):
         seen = labels.select(F.col("rid").alias("dst"), F.col("label").alias("near"))
-        votes = both.join(seen, "dst").groupBy("src", "near").agg(F.sum("weight").alias("pull"))
+        votes = both.join(seen, "dst").groupBy("src", "near").agg(F.sum("weight").alias("pull"), F.max("hub").alias("hub"), F.max("dst").alias("dst"))
         own = labels.withColumnRenamed("rid", "src")
         pulled = votes.join(own, "src").groupBy("src", "label").agg(
             F.max(F.struct("pull", (-F.abs(F.hash("src", "near", F.lit(turn)).cast("long"))).alias("tie"), "near")).alias("best"),
             F.sum(F.when(F.col("near") == F.col("label"), F.col("pull")).otherwise(0.0)).alias("stay"),
+            F.max("hub").alias("hub"),
+            F.max("dst").alias("dst"),  # of a leaf, its only neighbour
         )
+        star = F.when(F.col("hub"), F.col("src")).otherwise(F.col("dst"))
+        pulled = pulled.where(F.col("hub") == (F.pmod(F.xxhash64(star) + turn, F.lit(2)) == 1))
         asks = pulled.where((F.col("best.near") != F.col("label")) & (F.col("best.pull") > F.col("stay")))
         asks = stored(asks.select("src", "label", F.col("best.near").alias("wish")), "shard-asks")
         flows = {(r[0], r[1]): r[2] for r in asks.groupBy("label", "wish").count().collect()}  # at most shards^2 rows
         if not flows:
-            break
+            if idle:  # neither leaves nor hubs ask
+                break
+            idle = True
+            continue
+        idle = False
         used = dict(labels.groupBy("label").count().collect())  # at most `shards` rows
         shares = granted(flows, [quota - used.get(s, 0) for s in range(shards)])
         rates = F.create_map(*[F.lit(x) for (a, b), p in shares.items() for x in (a * shards + b, float(p))])
@@ -83,13 +93,14 @@ def propagate(nodes: DataFrame, edges: DataFrame, shards: int, quota: int, round
 def granted(flows: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int, int], float]:
     """Share of the requests of each (from, to) that keep quotas: exchanges first, then free room in equal parts."""
     swaps = {(a, b): min(n, flows.get((b, a), 0)) for (a, b), n in flows.items()}
-    wanted = [0] * len(room)
-    for (a, b), n in flows.items():
-        wanted[b] += n - swaps[a, b]
-    return {
-        (a, b): min(1.0, (swaps[a, b] + (n - swaps[a, b]) * min(1.0, max(0, room[b]) / max(1, wanted[b]))) / n)
-        for (a, b), n in flows.items()
-    }
+    left = {k: n - swaps[k] for k, n in flows.items()}
+    # what a shard takes beyond exchanges fits its room and what leaves it in turn: from all granted down to what holds
+    rates = [1.0] * len(room)
+    wanted = [sum(n for (_, b), n in left.items() if b == s) for s in range(len(room))]
+    for _ in range(200):
+        leaving = [sum(n * rates[b] for (a, b), n in left.items() if a == s) for s in range(len(room))]
+        rates = [min(r, (max(0, m) + out) / max(1, w)) for r, m, out, w in zip(rates, room, leaving, wanted, strict=True)]
+    return {(a, b): min(1.0, (swaps[a, b] + left[a, b] * rates[b]) / n) for (a, b), n in flows.items()}
 
 
 def fill(rows: DataFrame, total: int, shards: int) -> DataFrame:
