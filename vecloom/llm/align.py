@@ -36,13 +36,13 @@ from .registry import query
 
 TOKENIZERS = "/opt/tokenizers"
 #: Bytes of a range; texts up to twice that are one range.
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 FAN = 8
 #: Pairs of ids that are sent to the tasks (16 bytes each), and that a task holds before it hands them on.
 PAIRS = 4 << 20
 HELD = 1 << 20
-#: Bytes of text that are tokenized before their arrays are joined up.
-BATCH = 4 << 20
+#: Characters that are tokenized, and tokens that are written out, at once.
+BATCH = 1 << 20
 
 #: Fixed: the splitting pattern of the byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -184,23 +184,26 @@ def byte_ranges(text: str, chunk: int, cuttable: bool) -> list[tuple[str, int, i
     return out
 
 
-FIELDS = "a array<int>, b array<int>, na array<int>, nb array<int>, ok boolean"
-_LISTS = pa.list_(pa.int32())
+FIELDS = "a binary, b binary, na binary, nb binary, ok boolean"
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Non-negative numbers below 2 to 32 in as few bytes each as the greatest needs; the first byte says how many."""
+    size = next(k for k in (1, 2, 4) if not len(values) or values.max() < 1 << 8 * k)
+    return bytes([size]) + values.astype(f"<u{size}").tobytes()
+
+
+def unpack(packed) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype(np.int32)
 
 
 def _columns(found: list[Fragment]) -> dict[str, pa.Array]:
-    out = {}
-    for name in ("a", "b", "na", "nb"):
-        values = [getattr(f, name) for f in found]
-        offsets = np.concatenate(([0], np.cumsum([len(v) for v in values]))).astype(np.int32)
-        flat = np.concatenate(values).astype(np.int32) if values else np.zeros(0, np.int32)
-        out[name] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+    out = {name: pa.array([pack(getattr(f, name)) for f in found], pa.binary()) for name in ("a", "b", "na", "nb")}
     return out | {"ok": pa.array([f.ok for f in found], pa.bool_())}
 
 
 def _fragment(batch, k: int) -> Fragment:
-    a, b, na, nb = (batch.column(c)[k].values.to_numpy() for c in ("a", "b", "na", "nb"))
-    return Fragment(a, b, na, nb, batch.column("ok")[k].as_py())
+    return Fragment(*(unpack(batch.column(c)[k].as_py()) for c in ("a", "b", "na", "nb")), batch.column("ok")[k].as_py())
 
 
 class Aligner:
@@ -241,7 +244,7 @@ class Aligner:
                 for k, t in enumerate(texts):
                     held.append(k)
                     size += len(t)
-                    if size > BATCH or k == len(texts) - 1:
+                    if size >= BATCH or k == len(texts) - 1:
                         found += fragments([texts[i] for i in held], [lows[i] for i in held], [highs[i] for i in held], one, two)
                         held, size = [], 0
                 lists = _columns(found)
@@ -289,14 +292,20 @@ def composed(parts: DataFrame, most: int) -> DataFrame:
 
 
 def _flat(batch: pa.RecordBatch):
-    """Ids and group sizes of all rows in one piece each, and the bounds of the rows."""
-    flat, bounds = {}, {}
-    for name in ("a", "b", "na", "nb"):
-        c = batch.column(name)
-        bounds[name] = c.offsets.to_numpy().astype(np.int64)
-        flat[name] = c.values.to_numpy()[bounds[name][0] : bounds[name][-1]]
-        bounds[name] = bounds[name] - bounds[name][0]
-    return flat, bounds
+    """Parts of a batch's rows with about ``BATCH`` tokens: first row, ids and group sizes in one piece each, and the bounds of the rows."""
+    names = ("a", "b", "na", "nb")
+    columns = [[x.as_buffer() for x in batch.column(c)] for c in names]
+    lo = 0
+    while lo < batch.num_rows:
+        hi, size = lo, 0
+        while hi < batch.num_rows and size < 2 * BATCH:  # two bytes an id
+            size += columns[0][hi].size + columns[1][hi].size
+            hi += 1
+        parts = [[unpack(x) for x in c[lo:hi]] for c in columns]
+        flat = {n: np.concatenate(x) for n, x in zip(names, parts, strict=True)}
+        bounds = {n: np.concatenate(([0], np.cumsum([len(y) for y in x]))) for n, x in zip(names, parts, strict=True)}
+        yield lo, flat, bounds
+        lo = hi
 
 
 def _links(flat: dict) -> np.ndarray:
@@ -318,8 +327,8 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
             return pairs, n
 
         for batch in batches:
-            if batch.num_rows:
-                held.append(np.unique(_links(_flat(batch)[0]), return_counts=True))
+            for _, flat, _ in _flat(batch):
+                held.append(np.unique(_links(flat), return_counts=True))
                 size += len(held[-1][0])
                 if size > HELD:
                     held = [packed()]
@@ -356,6 +365,31 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
+class Digits:
+    """Groups as text, ``a1,a2|b1;a3|b2,b3``, for many rows at once."""
+
+    def __init__(self, most: int = 1 << 17):
+        written = [str(i).encode() for i in range(most)]
+        self.width = np.array([len(w) for w in written])
+        self.table = np.frombuffer(b"".join(w.ljust(7, b"\0") for w in written), np.uint8).reshape(most, 7)
+
+    def digests(self, flat: dict, bounds: dict) -> list[str]:
+        """SHA-256 of each row's groups; an empty string for a row without tokens."""
+        after_a, after_b = (np.cumsum(flat[x], dtype=np.int64) for x in ("na", "nb"))
+        place_a = np.arange(len(flat["a"])) + np.repeat(after_b - flat["nb"], flat["na"])
+        place_b = np.arange(len(flat["b"])) + np.repeat(after_a, flat["nb"])
+        ids = np.empty(len(place_a) + len(place_b), np.int32)
+        ids[place_a], ids[place_b] = flat["a"], flat["b"]
+        mark = np.full(len(ids), ord(","), np.uint8)
+        mark[place_a[after_a - 1]], mark[place_b[after_b - 1]] = ord("|"), ord(";")
+        signs, width = self.table[ids], self.width[ids]
+        signs[np.arange(len(ids)), width] = mark
+        text = signs.ravel()
+        text = text[text != 0].tobytes()
+        ends = np.concatenate(([0], np.cumsum(width + 1)))[bounds["a"] + bounds["b"]]
+        return [hashlib.sha256(text[i : j - 1]).hexdigest() if j > i else "" for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
 def summaries(aligned: DataFrame, pairs: DataFrame) -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` of every row of ``aligned``."""
     hot, cut = _hot(pairs)
@@ -368,39 +402,26 @@ def summaries(aligned: DataFrame, pairs: DataFrame) -> DataFrame:
         return hit, np.where(hit, n[at], 0) if len(known) else hit, (hit & best[at]) if len(known) else hit
 
     def scan(batches):
-        marks = {m: np.array([b"%d%s" % (i, m) for i in range(1 << 17)], object) for m in (b",", b"|", b";")}
+        digits = Digits()
         for batch in batches:
-            flat, bounds = _flat(batch)
-            links = _links(flat)
-            _, n, best = looked_up(links)
-            groups = np.arange(len(links))
-            after_a, after_b = (np.cumsum(flat[x], dtype=np.int64) for x in ("na", "nb"))
-            place_a = np.arange(len(flat["a"])) + np.repeat(after_b - flat["nb"], flat["na"])
-            place_b = np.arange(len(flat["b"])) + np.repeat(after_a, flat["nb"])
-            text = np.empty(len(place_a) + len(place_b), object)
-            text[place_a], text[place_b] = marks[b","][flat["a"]], marks[b","][flat["b"]]
-            text[place_a[after_a[groups] - 1]] = marks[b"|"][flat["a"][after_a - 1]]
-            text[place_b[after_b[groups] - 1]] = marks[b";"][flat["b"][after_b - 1]]
-            cuts = bounds["a"] + bounds["b"]
-            digests = [
-                hashlib.sha256(b"".join(text[i:j].tolist())[:-1]).hexdigest() if j > i else ""
-                for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
-            ]
-            sizes = [np.diff(bounds[x]) for x in ("a", "b", "na", "na")]
-            sums = [_sums(x, bounds["na"]) for x in (best, n)]
-            yield pa.record_batch(
-                [batch.column("row"), batch.column("doc_id"), *[pa.array(x) for x in (*sizes, *sums)], pa.array(digests, pa.string())],
-                names=["row", "doc_id", *names, "groups_sha256"],
-            )
+            for lo, flat, bounds in _flat(batch):
+                _, n, best = looked_up(_links(flat))
+                sizes = [np.diff(bounds[x]) for x in ("a", "b", "na", "na")]
+                sums = [_sums(x, bounds["na"]) for x in (best, n)]
+                head = batch.slice(lo, len(sizes[0]))
+                yield pa.record_batch(
+                    [head.column("row"), head.column("doc_id"), *[pa.array(x) for x in (*sizes, *sums)], pa.array(digits.digests(flat, bounds), pa.string())],
+                    names=["row", "doc_id", *names, "groups_sha256"],
+                )
 
     def cold(batches):
         for batch in batches:
-            flat, bounds = _flat(batch)
-            links = _links(flat)
-            hit, _, _ = looked_up(links)
-            row = np.repeat(np.arange(batch.num_rows), np.diff(bounds["na"]))[~hit]
-            got, n = np.unique(np.stack([row, links[~hit]]), axis=1, return_counts=True)
-            yield pa.record_batch([batch.column("row").take(pa.array(got[0])), pa.array(got[1].copy()), pa.array(n)], names=["row", "pair", "m"])
+            for lo, flat, bounds in _flat(batch):
+                links = _links(flat)
+                hit, _, _ = looked_up(links)
+                row = lo + np.repeat(np.arange(len(bounds["na"]) - 1), np.diff(bounds["na"]))[~hit]
+                got, n = np.unique(np.stack([row, links[~hit]]), axis=1, return_counts=True)
+                yield pa.record_batch([batch.column("row").take(pa.array(got[0])), pa.array(got[1].copy()), pa.array(n)], names=["row", "pair", "m"])
 
     names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     columns = aligned.select("row", "doc_id", "a", "b", "na", "nb")
