@@ -7,7 +7,7 @@ least that share of them which the shard has of the language's words; so each sh
 
 A shard does not fit into a task. Tasks turn texts into hashed phrases, pre-aggregate blocks of them and deal packed hashes and
 counts by (shard, language, hash range); a group of such blocks is bounded by the number of ranges, which follows the
-corpus. Hashes that reach the local support become bits of one filter of fixed size (``FILTER_BITS``), the union of all shards. Equal
+corpus. Hashes that reach the local support become bits of one filter of fixed size (``filters``), the union of all shards. Equal
 hashes, and a filter that is full, only add candidates. The last pass counts the words of each phrase that passes, as text.
 
 Scores are whole numbers, from products in 38 decimal digits.
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.registry import table
+from . import filters
 from .frames import stored
 from .registry import query
 from .shingles import BLOCK, Words, mix, utf8
@@ -38,12 +39,10 @@ FIRST = 2000
 COVERED = 50
 #: Shards of the mining pass: with fewer than ``SUPPORT``, a local support is above one.
 SHARDS = 4
-#: Bits of the candidate filter (16 MB), and bits of one of its segments.
-FILTER_BITS = 27
-SEGMENT_BITS = 20
-#: Bytes of text for a hash range, and phrases that a task holds before it writes a block.
+#: Bytes of text for a hash range; hashes, and counted phrases, that a task holds before it hands them on.
 RANGE_BYTES = 64 << 20
-HELD = 1 << 21
+HELD = 1 << 22
+HELD_PHRASES = 1 << 19
 
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
@@ -165,140 +164,118 @@ def local_supports(counts: DataFrame, support: int) -> DataFrame:
 
 def mined(rows: DataFrame, supports: DataFrame, ranges: int, longest: int) -> DataFrame:
     """``segment, at``: packed places in the filter, of all phrases that are frequent in some shard of ``rows(shard, lang, text)``."""
-    shift = _U(32 - (ranges - 1).bit_length())  # a code is the range and 32 bits more
+    names = ["shard", "lang", "range", "ones", "more", "n"]
+    kinds = [pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
 
     def blocks(held):
         out = []
         for (shard, lang), parts in held.items():
             codes, n = np.unique(np.concatenate(parts), return_counts=True)
-            cuts = np.searchsorted(codes, np.arange(ranges + 1, dtype=np.uint64) << _U(32))
-            for r in range(ranges):
-                c, k = codes[cuts[r] : cuts[r + 1]].astype(np.uint32), n[cuts[r] : cuts[r + 1]]
-                if len(c):
-                    many = k > 1
-                    out.append((shard, lang, r, c[~many].tobytes(), c[many].tobytes(), k[many].astype(np.uint32).tobytes()))
+            for r, lo, hi in filters.dealt(codes, ranges):
+                c, k = codes[lo:hi].astype(np.uint32), n[lo:hi]
+                many = k > 1
+                out.append((shard, lang, r, c[~many].tobytes(), c[many].tobytes(), k[many].astype(np.uint32).tobytes()))
         held.clear()
-        return pa.RecordBatch.from_pylist(
-            [dict(zip(names, x, strict=True)) for x in out],
-            schema=pa.schema(list(zip(names, [pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary()], strict=True))),
-        )
-
-    names = ["shard", "lang", "range", "ones", "more", "n"]
+        return pa.record_batch([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
     def scan(batches):
         runs, held, size = Runs(), {}, 0
         for b in batches:
-            t = pa.Table.from_batches([b]).sort_by([("shard", "ascending"), ("lang", "ascending")]).combine_chunks()
-            if not t.num_rows:
-                continue
+            t = pa.Table.from_batches([b]).sort_by([("shard", "ascending"), ("lang", "ascending")])
             shard, lang = t.column(0).to_pylist(), t.column(1).to_pylist()
-            first = [k for k in range(len(lang)) if k == 0 or (shard[k], lang[k]) != (shard[k - 1], lang[k - 1])]
-            for k, to in zip(first, [*first[1:], len(lang)], strict=True):
-                _, _, _, hashes, _, piece = runs.read(t.column(2).chunk(0).slice(k, to - k))
+            for k, texts in _parts(t):
+                _, _, _, hashes, _, piece = runs.read(texts)
                 seeds = np.full(len(hashes), _seed(lang[k]), np.uint64)
                 for _, _, got in phrase_hashes(seeds, hashes, piece, longest):
-                    held.setdefault((shard[k], lang[k]), []).append(got >> shift)
-                    size += len(got)
-            if size > HELD:
-                yield blocks(held)
-                size = 0
+                    if len(got):
+                        held.setdefault((shard[k], lang[k]), []).append(filters.codes_of(got, ranges))
+                        size += len(got)
+                if size > HELD:
+                    yield blocks(held)
+                    size = 0
         if held:
             yield blocks(held)
 
     def merge(t: pa.Table) -> pa.Table:
-        least = t.column("least")[0].as_py()
-        r = np.uint64(t.column("range")[0].as_py()) << _U(32)
-        codes, counts = [], []
-        for name in ("ones", "more"):
-            for x in t.column(name):
-                codes.append(np.frombuffer(x.as_buffer(), np.uint32))
-                if name == "ones":
-                    counts.append(np.ones(len(codes[-1]), np.int64))
-        counts += [np.frombuffer(x.as_buffer(), np.uint32).astype(np.int64) for x in t.column("n")]
-        codes, counts = np.concatenate(codes), np.concatenate(counts)
-        order = np.argsort(codes, kind="stable")
-        codes, counts = codes[order], counts[order]
-        first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
-        often = codes[first][np.add.reduceat(counts, first) >= least]
-        places = np.unique(filter_places(r | often.astype(np.uint64)))
-        segments = places >> _U(SEGMENT_BITS)
-        cuts = np.flatnonzero(np.concatenate(([True], segments[1:] != segments[:-1]))) if len(places) else np.zeros(0, int)
-        within = (places & _U((1 << SEGMENT_BITS) - 1)).astype(np.uint32)
-        return pa.table(
-            {
-                "segment": pa.array(segments[cuts].astype(np.int32)),
-                "at": pa.array([x.tobytes() for x in np.split(within, cuts[1:])][: len(cuts)], pa.binary()),
-            }
-        )
+        ones, more, n = ([np.frombuffer(x.as_buffer(), np.uint32) for x in t.column(c)] for c in ("ones", "more", "n"))
+        codes, counts = filters.counted([(c, np.ones(len(c), np.int64)) for c in ones] + [(c, k.astype(np.int64)) for c, k in zip(more, n, strict=True)])
+        return filters.as_places(t.column("range")[0].as_py(), codes[counts >= t.column("least")[0].as_py()])
 
     dealt = rows.mapInArrow(scan, "shard int, lang string, range int, ones binary, more binary, n binary")
     return dealt.join(supports, ["shard", "lang"]).groupBy("shard", "lang", "range").applyInArrow(merge, "segment int, at binary")
 
 
-def filter_places(codes: np.ndarray) -> np.ndarray:
-    return mix(codes * _STEP + _U(1)) >> _U(64 - FILTER_BITS)
-
-
-def union_filter(places: DataFrame) -> np.ndarray:
-    """The filter's bytes (2 to the power of ``FILTER_BITS``, less three): a fixed size, whatever the corpus."""
-
-    def merge(t: pa.Table) -> pa.Table:
-        bits = np.zeros(1 << SEGMENT_BITS, bool)
-        for x in t.column("at"):
-            bits[np.frombuffer(x.as_buffer(), np.uint32)] = True
-        return pa.table({"segment": t.column("segment")[:1], "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+class Tally:
+    """Counts of phrases by hash, and the phrases themselves, of a bounded number of them."""
 
-    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    step = 1 << (SEGMENT_BITS - 3)
-    got = places.groupBy("segment").applyInArrow(merge, "segment int, bits binary").toArrow()
-    for k, bits in zip(got.column("segment").to_pylist(), got.column("bits"), strict=True):
-        out[k * step : (k + 1) * step] = np.frombuffer(bits.as_buffer(), np.uint8)
-    return out
+    def __init__(self):
+        self.hashes, self.totals, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.langs: list[str] = []
+        self.phrases: list[bytes] = []
+
+    def add(self, hashes: np.ndarray, counts: np.ndarray, lang: str, phrase_of) -> None:
+        """``hashes`` sorted and distinct; ``phrase_of(k)`` is the text of the k-th."""
+        at = np.searchsorted(self.hashes, hashes)
+        known = np.zeros(len(hashes), bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == hashes[inside]
+        self.totals[at[known]] += counts[known]
+        new = np.flatnonzero(~known)
+        self.hashes = np.insert(self.hashes, at[new], hashes[new])
+        self.totals = np.insert(self.totals, at[new], counts[new])
+        self.place = np.insert(self.place, at[new], np.arange(len(new)) + len(self.phrases))
+        self.langs += [lang] * len(new)
+        self.phrases += [phrase_of(k) for k in new.tolist()]
+
+    def batch(self) -> pa.RecordBatch:
+        totals = np.empty_like(self.totals)
+        totals[self.place] = self.totals
+        phrases = pa.array(self.phrases, pa.binary()).cast(pa.string())
+        return pa.record_batch([pa.array(self.langs, pa.string()), phrases, pa.array(totals)], names=["lang", "phrase", "f"])
+
+
+def _parts(t: pa.Table) -> Iterator[tuple[int, pa.Array]]:
+    """Runs of rows with equal values in all columns but the last: the first row, and their texts in parts of about ``BLOCK`` bytes."""
+    keys = list(zip(*(c.to_pylist() for c in t.columns[:-1]), strict=True))
+    sizes = t.column(t.num_columns - 1).combine_chunks()
+    lengths = np.diff(utf8(sizes)[1])
+    lo = 0
+    while lo < len(keys):
+        hi, size = lo, 0
+        while hi < len(keys) and keys[hi] == keys[lo] and (hi == lo or size + lengths[hi] <= BLOCK):
+            size += lengths[hi]
+            hi += 1
+        yield lo, sizes.slice(lo, hi - lo)
+        lo = hi
 
 
 def counted(rows: DataFrame, bits: np.ndarray, ranges: int, longest: int, support: int) -> DataFrame:
     """``lang, phrase, f`` of all phrases that pass the filter and reach ``support``: exact counts, of texts."""
     shared = rows.sparkSession.sparkContext.broadcast(bits)
-    shift = _U(32 - (ranges - 1).bit_length())
 
     def scan(batches):
-        runs, bits = Runs(), shared.value
-        known: dict[tuple[str, int], int] = {}
-        langs, phrases, totals = [], [], []
-
-        def flush():
-            out = pa.record_batch([pa.array(langs), pa.array(phrases), pa.array(totals, pa.int64())], names=["lang", "phrase", "f"])
-            for x in (known, langs, phrases, totals):
-                x.clear()
-            return out
-
+        runs, bits, tally = Runs(), shared.value, Tally()
         for b in batches:
-            t = pa.Table.from_batches([b]).sort_by("lang").combine_chunks()
-            if not t.num_rows:
-                continue
-            lang = t.column(1).to_pylist()
-            first = [k for k in range(len(lang)) if k == 0 or lang[k] != lang[k - 1]]
-            for k, to in zip(first, [*first[1:], len(lang)], strict=True):
-                data, starts, ends, hashes, _, piece = runs.read(t.column(2).chunk(0).slice(k, to - k))
+            t = pa.Table.from_batches([b.select(["lang", "text"])]).sort_by("lang")
+            lang = t.column(0).to_pylist()
+            for lo, texts in _parts(t):
+                data, starts, ends, hashes, _, piece = runs.read(texts)
                 text = data.tobytes()
-                seeds = np.full(len(hashes), _seed(lang[k]), np.uint64)
+                seeds = np.full(len(hashes), _seed(lang[lo]), np.uint64)
                 for size, at, got in phrase_hashes(seeds, hashes, piece, longest):
-                    place = filter_places(got >> shift)
-                    hit = (bits[place >> _U(3)] >> (_U(7) - (place & _U(7))).astype(np.uint8)) & 1 == 1
-                    values, where, n = np.unique(got[hit], return_index=True, return_counts=True)
-                    where = at[hit][where]
-                    for h, i, c in zip(values.tolist(), where.tolist(), n.tolist(), strict=True):
-                        j = known.setdefault((lang[k], h), len(totals))
-                        if j < len(totals):
-                            totals[j] += c
-                        else:
-                            langs.append(lang[k])
-                            phrases.append(b" ".join([text[starts[x] : ends[x]] for x in range(i, i + size)]).decode())
-                            totals.append(c)
-            if len(totals) > HELD // 4:
-                yield flush()
-        if totals:
-            yield flush()
+                    hit = filters.in_filter(bits, filters.codes_of(got, ranges))
+                    values, first, n = np.unique(got[hit], return_index=True, return_counts=True)
+                    first = at[hit][first]
+
+                    def phrase_of(k, first=first, size=size, text=text, starts=starts, ends=ends):
+                        return b" ".join([text[starts[i] : ends[i]] for i in range(first[k], first[k] + size)])
+
+                    tally.add(values, n, lang[lo], phrase_of)
+                if len(tally.phrases) > HELD_PHRASES:
+                    yield tally.batch()
+                    tally = Tally()
+        if tally.phrases:
+            yield tally.batch()
 
     found = rows.mapInArrow(scan, "lang string, phrase string, f long")
     return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
@@ -310,8 +287,8 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LON
     rows = _prepared(docs, shards)
     counts = stored(word_counts(rows), "phrase-words")
     size = counts.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    ranges = 1 << max(0, (-(-int(size) // RANGE_BYTES) - 1).bit_length())
-    bits = union_filter(mined(rows, local_supports(counts, support), ranges, longest))
+    ranges = filters.ranges_for(size, RANGE_BYTES)
+    bits = filters.union_filter(mined(rows, local_supports(counts, support), ranges, longest))
     found = stored(counted(rows, bits, ranges, longest, support), "phrase-counts")
     return found, counts.groupBy("lang").agg(F.sum("n").alias("n"))
 
