@@ -7,7 +7,7 @@ import gc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import scratch
 
 #: Parts a group may be dealt over. A group of a third of all rows is then a hundredth per part.
 SALTS = 32
@@ -25,12 +25,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     Shuffle files of the finished job are dropped as soon as the driver's JVM collects their handles;
     asking for that collection keeps the shuffle files of several phases from adding up on disk.
     """
-    out = materialise(df, label)
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_in = path
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
     return out
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote and nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._stored_in)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def salt(*cols: str) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(SALTS)).cast("int")
 
