@@ -257,25 +257,42 @@ class TestPipeline:
     def test_stages_keep_clean_rows_and_columns(self, spark):
         rng = random.Random(6)
         rows = [(k, fx.words(rng, 80) + " the end", "en", "s", 1) for k in range(60)]
+        passage = " bench mark passage with seven words "
         rows += [(60, rows[3][1], "en", "s", 1), (61, rows[4][1] + " more", "en", "s", 1), (62, "!!! 123", "en", "s", 1), (63, None, None, None, None)]
-        rows += [(64, fx.words(rng, 30) + " bench mark passage with seven words " + fx.words(rng, 30), "en", "s", 1)]
+        rows += [(64, fx.words(rng, 30) + passage + fx.words(rng, 30), "en", "s", 1)]
+        # one id with a copy, a leak and a clean text each; null ids likewise
+        for i in (65, None):
+            rows += [(i, rows[5][1] + " again", "en", "s", 2), (i, fx.words(rng, 60) + " clean", "en", "s", 3)]
+            rows += [(i, fx.words(rng, 30) + passage + fx.words(rng, 30), "en", "s", 4)]
         folder = scratch(spark, "pipeline-test")
-        docs = fx.documents(spark, rows, extra=False)
+        docs = fx.documents(spark, rows)
+        for name in ("rejected", "lang_pred", "_t", "_row", "x5", "_gone"):
+            docs = docs.withColumn(name, F.col("n_chars") + 7)
         docs.write.parquet(f"{folder}/documents.parquet")
-        item = spark.createDataFrame([(0, "Bench mark passage, with seven words")], "item_id long, text string")
+        item = spark.createDataFrame([(None, "Bench mark passage, with seven words")], "item_id long, text string")
         item.write.parquet(f"{folder}/benchmark.parquet")
         assert 4 <= len(corpus_pipeline.STAGES) <= 5
-        ids = {r[0] for r in rows}
-        gone = [{62, 63}, {60, 61}, {64}]
-        for (_, stage), lost in zip(corpus_pipeline.STAGES, gone, strict=False):
-            docs = spark.read.parquet(f"{folder}/documents.parquet").where(F.col("doc_id").isin(sorted(ids)))
-            out = stage(spark, docs, folder)
-            assert out.columns == docs.columns
-            left = {r["doc_id"] for r in out.collect()}
-            assert left == ids - lost
-            ids = left
+        left = spark.read.parquet(f"{folder}/documents.parquet")
+        texts = [r["text"] for r in left.collect()]
+        copies = {r[1] for r in rows if r[0] in (60, 61) or r[4] == 2} | {rows[k][1] for k in (3, 4, 5)}
+        leaks = {t for t in texts if t and passage in t}
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:3]):
+            before = {tuple(r) for r in left.collect()}
+            out = stage(spark, left, folder)
+            assert out.columns == left.columns
+            after = [tuple(r) for r in out.collect()]
+            assert set(after) <= before  # no value of any column changes
+            gone = {r[1] for r in before} - {r[1] for r in after}
+            if k == 0:
+                assert gone == {"!!! 123", None}
+            elif k == 1:  # one text of each group stays, everything else untouched
+                assert gone <= copies and len(after) == len(rows) - 2 - 4
+                assert {t for t in texts if t and t != "!!! 123"} - copies <= {r[1] for r in after}
+            else:
+                assert gone == leaks
+            left = spark.createDataFrame(after, left.schema)
         got = corpus_pipeline.run(spark, folder).collect()
-        assert 0 < len(got) <= len(ids) and {r["doc_id"] for r in got} <= ids
+        assert 0 < len(got) <= len(after)
         assert max(r["shard"] for r in got) < corpus_pipeline.SHARDS
 
 
@@ -291,7 +308,7 @@ def test_matches_sql(spark, name):
     if not os.path.isdir(SF):
         pytest.skip("test tables not present")
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     cols = sorted(df.columns)

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -261,6 +262,26 @@ class TestNearDuplicates:
         got = minhash.near_duplicates(fx.documents(spark, rows), 3, 85).collect()
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
+    def test_one_shingle_in_a_third_of_all_texts(self, spark, monkeypatch):
+        monkeypatch.setattr(minhash, "LISTED", 8)  # so that its group goes by blocks
+        monkeypatch.setattr(minhash, "BLOCK", 6)
+        rng = random.Random(12)
+        notice = "all rights reserved by us"
+        rows = [(k, f"{notice} {fx.words(rng, rng.choice([1, 2, 9, 30]))}" if k % 3 == 0 else fx.words(rng, 30), None, None, None) for k in range(120)]
+        rows += [(200 + k, rows[3 * k][1] + " w", None, None, None) for k in range(20)]
+        got = {(r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(fx.documents(spark, rows), 3, 80).collect()}
+        assert got == {(i, c) for i, _, c, _ in near_brute([r[:2] for r in rows], 3, 80)}
+
+    @pytest.mark.parametrize("sizes", [(5, 5), (40, 47), (3000, 2600), (700, 700)])
+    def test_histograms_bound_what_sets_share(self, sizes):
+        rng = np.random.default_rng(sum(sizes))
+        for share in (0.0, 0.5, 1.0):
+            x, y = (rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) for n in sizes)
+            n = int(share * min(sizes))
+            y[:n] = x[:n]
+            got = minhash.most_shared(*(np.frombuffer(minhash.histogram(np.unique(s)), np.uint8) for s in (x, y)))
+            assert got is None or got >= n
+
     def test_nulls_repeats_empty(self, spark):
         rows = [(None, "a b c d", None, None, None), (4, "a b c d", None, None, None), (4, "a b c d", None, None, None), (5, "A b  c D", None, None, None)]
         got = minhash.near_duplicates(fx.documents(spark, rows), 3, 85).collect()
