@@ -1,3 +1,4 @@
+import csv
 import json
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from vecloom.operators import flatten
 from vecloom.plans import jobs
-from vecloom.sources.csv import scan_csv
+from vecloom.sources.csv import scan_csv, write_csv
 from vecloom.sources.json import parse_documents, scan_json
 
 SHAPES = [
@@ -111,11 +112,25 @@ def test_malformed_file_is_an_error(spark, tmp_path):
         scan_json(spark, str(tmp_path)).collect()
 
 
-def test_too_many_columns_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(flatten, "MAX_WIDE_COLUMNS", 1)
-    df = spark.sql("""SELECT 1 AS rec_id, parse_json('{"a":1,"b":2}') AS v""")
-    with pytest.raises(ValueError):
-        flatten.flatten_wide(df)
+def test_five_thousand_paths_to_csv(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(flatten, "CELLS", 12_000)  # some rows per batch
+    docs = [{f"k{i * 1000 + j:04d}": f"{i}-{j}" for j in range(1000)} for i in range(5)] + [{}, {"k0007": None, "k4999": 'a "b",\nc'}]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "rec_id int, j string")
+    parsed, _ = parse_documents(df, F.col("j"), ["rec_id"])
+    wide = flatten.flatten_wide(parsed)
+    assert wide.columns == ["rec_id", *[f"k{i:04d}" for i in range(5000)]]
+    write_csv(wide.orderBy("rec_id"), str(tmp_path / "wide"))
+    with open(next((tmp_path / "wide").glob("*.csv")), newline="") as f:
+        header, *lines = csv.reader(f)
+    got = [dict(zip(header, line, strict=True)) for line in lines]
+    want = [{"rec_id": str(i), **{f"k{k:04d}": "" for k in range(5000)}, **{k: v or "" for k, v in d.items()}} for i, d in enumerate(docs)]
+    assert sorted(got, key=lambda r: r["rec_id"]) == want
+
+
+def test_wide_form_with_given_paths_and_a_path_like_the_key(spark):
+    df = spark.sql("""SELECT 1 AS rec_id, parse_json('{"rec_id":5,"a":{"b":1},"c":2}') AS v""")
+    out = flatten.flatten_wide(df, paths=["c", "rec_id", "gone"])
+    assert out.columns == ["rec_id", "c", "rec_id", "gone"] and tuple(out.first()) == (1, "2", "5", "")
 
 
 def test_typed_struct(spark):

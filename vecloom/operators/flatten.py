@@ -2,7 +2,7 @@
 
 A record is unrolled inside the row: each level replaces every object or mixed list in an
 array of ``(path, value)`` entries by its children. There is no shuffle, neither for the long
-form (one ``inline``) nor for the wide one (map lookups). How many levels are needed is
+form (one ``inline``) nor for the wide one (entries placed by their path's ordinal, any number of columns). How many levels are needed is
 read from the data by one aggregate.
 """
 
@@ -10,14 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, FloatType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, FloatType, StringType, StructField, StructType
 
 from ..functions.text import quoted
 from ..session import materialise
 
-MAX_WIDE_COLUMNS = 2000
+#: Cells of a wide table that a task holds at once.
+CELLS = 1 << 20
 
 
 def float_text(d: Column) -> Column:
@@ -122,17 +126,47 @@ def flatten_long(df: DataFrame, key: str = "rec_id", column: str = "v", levels:
 
 
 def paths_of(df: DataFrame, column: str = "v", levels: int | None = None, sep: str = ".") -> list[str]:
-    """All paths in sorted order; refuses to make a table wider than the driver should plan."""
+    """All paths in sorted order."""
     levels = depth(df, column) if levels is None else levels
     return _distinct_paths(df.select(entries(column, levels, sep).alias("e")), "e")
 
 
 def _distinct_paths(df: DataFrame, column: str) -> list[str]:
     paths = df.select(F.explode(F.transform(column, lambda e: e["path"])).alias("path")).distinct()
-    found = paths.orderBy("path").limit(MAX_WIDE_COLUMNS + 1).collect()
-    if len(found) > MAX_WIDE_COLUMNS:
-        raise ValueError(f"more than {MAX_WIDE_COLUMNS} paths: use the long form")
-    return [r["path"] for r in found]
+    return sorted(r["path"] for r in paths.collect())  # the table's header, however wide
+
+
+def aligned(found: DataFrame, paths: Sequence[str]) -> DataFrame:
+    """``found(key, entries)`` with one STRING column per path instead of the entries; the last value of a repeated path counts.
+
+    The paths are a dictionary of ordinals. A record's entries are placed once each, whatever the number of columns, and
+    batches are cut so that ``CELLS`` cells are held at a time.
+    """
+    key = found.schema.fields[0]
+    sent = found.sparkSession.sparkContext.broadcast(list(paths))
+
+    def scan(batches):
+        header = pa.array(sent.value, pa.string())
+        width = len(header)
+        names = [f"c{k}" for k in range(width + 1)]
+        for batch in batches:
+            step = max(1, CELLS // max(1, width))
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                lists, rows = part.column(1), part.num_rows
+                path, value = lists.flatten().flatten()
+                row = np.repeat(np.arange(rows), pc.fill_null(lists.value_lengths(), 0).to_numpy())
+                ordinal = pc.fill_null(pc.index_in(path, value_set=header), -1).to_numpy().astype(np.int64)
+                known = np.flatnonzero(ordinal >= 0)
+                taken = np.full(width * rows, -1, np.int64)
+                np.maximum.at(taken, ordinal[known] * rows + row[known], known)  # the last of a repeated path
+                cells = pc.fill_null(value.take(pa.array(taken, mask=taken < 0)), "")
+                columns = [cells.slice(k * rows, rows) for k in range(width)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=names)
+
+    # numbered names inside, as a path may be called like the key
+    fields = [StructField(f"c{k + 1}", StringType()) for k in range(len(paths))]
+    return found.mapInArrow(scan, StructType([StructField("c0", key.dataType), *fields])).toDF(key.name, *paths)
 
 
 def flatten_wide(
@@ -153,12 +187,7 @@ def flatten_wide(
     if paths is None:
         found = materialise(found, "entries")
         paths = _distinct_paths(found, "__e__")
-
-    def value(path: str) -> Column:
-        hits = F.filter("__e__", lambda e: e["path"] == path)
-        return F.coalesce(F.try_element_at(hits, F.lit(-1))["value"], F.lit("")).alias(path)
-
-    return found.select(key, *[value(p) for p in paths])
+    return aligned(found, paths)
 
 
 def fill_missing(df: DataFrame) -> DataFrame:
