@@ -131,6 +131,25 @@ def test_inserts_with_comments_inside():
     assert [(t, c) for t, c, _ in extract.insert_parts(body)] == [("t", "a"), ("u", "b")]
 
 
+@pytest.mark.parametrize(
+    ("code", "want"),
+    [
+        ("\n insert  into `t` (`a (x)`, b)\nvalues  (1, 2)", ("t", "`a (x)`, b", "(1, 2)")),
+        ("INSERT INTO a$1(x)VALUES(1)", ("a$1", "x", "(1)")),
+        ("INSERT INTO t (`a, b) VALUES (1)", ("t", "`a, b", "(1)")),
+        ("INSERT INTO t VALUES (1)", None),
+        ("INSERT INTO s.t (a) VALUES (1)", None),
+        ("INSERT INTO t (a SELECT 1", None),
+        ("INSERT IGNORE t (a) VALUES (1)", None),
+        ("INSERT INTO t (a) SELECT 1", None),
+        ("INSERT INTO", None),
+        ("", None),
+    ],
+)
+def test_insert_heads(code, want):
+    assert extract.read_insert(code) == want
+
+
 def test_dump_job_is_idempotent(spark, dump, tmp_path):
     store = RowStore(spark, str(tmp_path / "store"), jobs.DEFAULT_DIM)
     jobs.ingest_sql_dump(spark, dump, store)

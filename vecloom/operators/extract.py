@@ -17,11 +17,12 @@ RAW_ROW = ["source", "table_name", "cols", "cells", "texts"]
 RAW_ROW_SCHEMA = "source string, table_name string, cols string, cells array<string>, texts array<string>"
 TUPLES_PER_BATCH = 2048
 
-# The INSERT shape that is read (column list mandatory, no schema prefix), and
-# the column names that identify a row.
-INSERT = re.compile(r"\s*INSERT\s+INTO\s+`?([\w$]+)`?\s*\(([^)]*)\)\s*VALUES\s*(.*)", re.I | re.S)
+# The column names that identify a row.
 ID_COLUMNS = ("id", "pk", "uuid")
 
+# A bare or back-quoted word of a statement, and a column list whose back-quoted names may hold parentheses.
+_WORD = re.compile(r"\s*(`?[\w$]+`?)")
+_COLUMNS = re.compile(r"\s*\(((?:`[^`]*`|[^)])*+)\)")
 _ESCAPED = re.compile(r"\\(.)|''", re.S)
 _CELL = re.compile(r"'((?:[^'\\]|\\.|'')*)'|([(),])|([^'(),]+)|'", re.S)
 
@@ -44,15 +45,32 @@ def comment_texts(body: str) -> Iterator[str]:
             free_from = m.end()
 
 
+def read_insert(code: str) -> tuple[str, str, str] | None:
+    """``(table, column list, values)`` of an INSERT, read word by word; a statement without a column list, or with
+    a schema before the table's name, gives None."""
+    words: list[str] = []
+    at = 0
+    while len(words) < 3 and (m := _WORD.match(code, at)):
+        words.append(m[1])
+        at = m.end()
+    if len(words) < 3 or [w.lower() for w in words[:2]] != ["insert", "into"]:
+        return None
+    columns = _COLUMNS.match(code, at)
+    values = columns and _WORD.match(code, columns.end())
+    if not values or values[1].lower() != "values":
+        return None
+    return words[2].strip("`"), columns[1], code[values.end() :].lstrip()
+
+
 def insert_parts(body: str) -> Iterator[tuple[str, str, str]]:
     """``(table, column list, values)`` of each INSERT in one piece, comments removed."""
     code: list[str] = []
     at = 0
 
     def statement() -> Iterator[tuple[str, str, str]]:
-        m = INSERT.match("".join(code))
-        if m:
-            yield m[1], m[2], m[3]
+        found = read_insert("".join(code))
+        if found:
+            yield found
         code.clear()
 
     for m in LEX.finditer(body):
@@ -253,9 +271,9 @@ def line_records(spark: SparkSession, paths: str | Sequence[str], min_text_len:
         for pdf in batches:
             found: list[tuple] = []
             for source, body in pdf.itertuples(index=False):
-                m = INSERT.match(body)
-                for cells in flat_tuples(m[3].rpartition(";")[0]) if m else ():
-                    found.append((source, m[1], m[2], cells, [_shown(_unquoted(c)) for c in cells]))
+                head = read_insert(body)
+                for cells in flat_tuples(head[2].rpartition(";")[0]) if head else ():
+                    found.append((source, *head[:2], cells, [_shown(_unquoted(c)) for c in cells]))
                     if len(found) >= TUPLES_PER_BATCH:
                         yield pd.DataFrame(found, columns=RAW_ROW)
                         found = []
