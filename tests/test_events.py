@@ -149,7 +149,24 @@ def test_gated_marks_equal_a_loop(spark, seed, limit):
     opened = {(rng.choice("aab"), times[i], i) for i in range(150) if rng.random() < 0.3}
     matches = [(rng.choice("aab"), times[i], i, f, rng.choice([None, 1, 2, 3, 4, 5])) for i in range(150) for f in range(rng.randrange(3))]
     e, m = gate_frames(spark, opened, matches)
-    assert marks(events.gated_marks(e, m, seconds=20, sequential_edges=limit)) == loop_marks(opened, matches)
+    assert marks(events.gated_marks(e, m, seconds=20, component_edges=limit)) == loop_marks(opened, matches)
+
+
+def test_edges_in_order_by_component(spark):
+    """Chains in which every edge waits for the one before it, and one hub, next to each other."""
+    chains = [(f"c{k}", f"l{k}-{i // 2}", f"r{k}-{(i + 1) // 2}", i) for k in range(20) for i in range(4 + k % 9)]
+    hub = [("hub", f"h{i % 7}", f"u{i % 11}", 40 + i) for i in range(77)]
+    edges = spark.createDataFrame([(l, r, n, c) for c, l, r, n in chains + hub], "l string, r string, n int, c string")
+    used, want = set(), set()
+    for n, l, r in sorted((n, l, r) for _, l, r, n in chains + hub):
+        if l not in used and r not in used:
+            used |= {l, r}
+            want.add((l, r))
+    for limit in (6, 1000):
+        got = events.match_in_order(edges, ["l"], ["r"], ["n", "l", "r"], limit)
+        assert sorted((x["l"], x["r"]) for x in got.collect()) == sorted(want)
+    parted = events._with_component(edges, ["l"], ["r"]).groupBy("__comp__").agg(F.collect_set("c").alias("c"))
+    assert sorted(x["c"] for x in parted.collect()) == sorted([c] for c in {e[0] for e in chains + hub})
 
 
 # streams

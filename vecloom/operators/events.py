@@ -19,8 +19,9 @@ LOW_THRESHOLD = 0.25
 MIN_RUN = 2
 SLICE_SECONDS = 86_400
 TARGET_SLICE_ROWS = 1_000_000
-# Remaining edges that one task finishes in order; above it they are resolved in parallel rounds.
-SEQUENTIAL_EDGES = 100_000
+# Rounds go on while one leaves at most this share of its edges, and the most edges of a component that a task takes in order.
+SHRINK = 0.8
+COMPONENT_EDGES = 100_000
 
 
 def slice_seconds(df: DataFrame, keys: Sequence[str], ts: str = "ts", target_rows: int = TARGET_SLICE_ROWS) -> int:
@@ -200,7 +201,7 @@ def gated_marks(
     matches: DataFrame,
     history: DataFrame | None = None,
     seconds: int | None = None,
-    sequential_edges: int = SEQUENTIAL_EDGES,
+    component_edges: int = COMPONENT_EDGES,
 ) -> DataFrame:
     """Marks ``(site, ts, frame, face, user_id, date)``.
 
@@ -210,7 +211,9 @@ def gated_marks(
     Each segment between events yields at most one mark, and each user and day at most one, so
     the marks are the matching that taking edges (segment, user-day) in time order gives. An edge
     earliest at both its ends is always part of it: rounds take all such edges at once and
-    drop the others at these ends. When few edges are left, one task takes them in order.
+    drop the others at these ends. Where long chains make rounds slow, what is left is split into connected
+    components, which do not touch each other: those of up to ``component_edges`` edges are dealt over
+    tasks and taken in order, larger ones go on in rounds.
     """
     matches = matches.where("user_id is not null")
     segments = gate_segments(events, matches, seconds).withColumn("date", F.to_date("ts"))
@@ -218,40 +221,88 @@ def gated_marks(
     edges = segments.withColumn("__rn__", F.row_number().over(w)).where("__rn__ = 1").drop("__rn__")
     if history is not None:
         edges = edges.join(history.select("user_id", "date"), ["user_id", "date"], "left_anti")
-    return match_in_order(edges, ["site", "segment"], ["user_id", "date"], EDGE_ORDER, sequential_edges).select(
+    return match_in_order(edges, ["site", "segment"], ["user_id", "date"], EDGE_ORDER, component_edges).select(
         "site", "ts", "frame", "face", "user_id", "date"
     )
 
 
 def match_in_order(
-    edges: DataFrame, left: Sequence[str], right: Sequence[str], order: Sequence[str], sequential_edges: int
+    edges: DataFrame, left: Sequence[str], right: Sequence[str], order: Sequence[str], component_edges: int = COMPONENT_EDGES
 ) -> DataFrame:
-    """Edges taken when going through them in ``order``, each needing both ends free.
+    """Edges taken when going through them in ``order``, each needing both ends free; a pair of ends is one edge.
 
     Each round writes its result to the shared folder, so a lost executor costs one round.
     """
-    edges = materialise(edges, "edges")
-    taken: DataFrame | None = None
+    spark, left, right = edges.sparkSession, list(left), list(right)
+    names = edges.columns
+    rest = materialise(edges, "edges")
+    taken = rest.limit(0)
+    n, least = rest.count(), 1
+    while n:
+        # labels are dearer than rounds, so there are twice as many rounds before each further split
+        done, slow = 0, False
+        while n and not (slow and done >= least):
+            won, rest = _earliest_at_both_ends(rest, left, right, order)
+            taken = taken.unionByName(won)
+            before, n, done = n, rest.count(), done + 1
+            slow = n > SHRINK * before
+        if not n:
+            break
+        least *= 2
+        parted = _with_component(rest, left, right)
+        # one row per component, salted first: a component may hold most of the edges
+        sizes = parted.groupBy("__comp__", F.pmod("__l__", F.lit(32)).alias("salt")).agg(F.count("*").alias("n"))
+        sizes = materialise(sizes.groupBy("__comp__").agg(F.sum("n").alias("n")), "components")
+        is_large = F.col("n") > component_edges
+        n_small, n_large = sizes.agg(F.sum(F.when(~is_large, F.col("n"))), F.count_if(is_large)).first()
+        large = sizes.where(is_large)
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(n_small or 0) // component_edges))
+        small = parted.join(large, "__comp__", "left_anti") if n_large else parted
+        small = small.withColumn("__task__", F.pmod(F.xxhash64("__comp__"), F.lit(tasks)))
+        taken = taken.unionByName(materialise(_take_in_order(small, left, right, order, names), "taken"))
+        if not n_large:
+            break
+        rest = materialise(parted.join(large, "__comp__", "left_semi").select(*names), "edges")
+        n = rest.count()
+    return taken
+
+
+def _earliest_at_both_ends(
+    edges: DataFrame, left: list[str], right: list[str], order: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """``(edges taken, edges whose ends are both still free)``."""
+    rank = F.struct(*order)
+    first_left = edges.groupBy(*left).agg(F.min(rank).alias("fl"))
+    first_right = edges.groupBy(*right).agg(F.min(rank).alias("fr"))
+    marked = edges.join(first_left, left).join(first_right, right)
+    won = materialise(marked.where((rank == F.col("fl")) & (rank == F.col("fr"))).select(*edges.columns), "taken")
+    rest = edges.join(won.select(*left), left, "left_anti").join(won.select(*right), right, "left_anti")
+    return won, materialise(rest, "edges")
+
+
+def _with_component(edges: DataFrame, left: list[str], right: list[str]) -> DataFrame:
+    """``edges`` with ``__l__``, the hash of the left end, and ``__comp__``, the smallest such hash that is connected.
+
+    Ends are told apart by hashes; two ends of one hash join their components, which does no harm. Each round passes the
+    smallest label over right ends and goes on to the label found there, so that long chains shorten by half.
+    """
+    rows = edges.withColumn("__l__", F.xxhash64(*left)).withColumn("__r__", F.xxhash64(*right))
+    links = materialise(rows.select("__l__", "__r__"), "links")
+    labels = links.groupBy("__l__").agg(F.first("__l__").alias("__comp__"))
     while True:
-        n = edges.count()
-        if n <= sequential_edges:
-            rest = _take_sequentially(edges, left, right, order) if n else edges
-            return rest if taken is None else taken.unionByName(rest)
-        rank = F.struct(*order)
-        first_left = edges.groupBy(*left).agg(F.min(rank).alias("fl"))
-        first_right = edges.groupBy(*right).agg(F.min(rank).alias("fr"))
-        marked = edges.join(first_left, list(left)).join(first_right, list(right))
-        won = materialise(marked.where((rank == F.col("fl")) & (rank == F.col("fr"))).select(*edges.columns), "taken")
-        edges = materialise(
-            edges.join(won.select(*left), list(left), "left_anti").join(won.select(*right), list(right), "left_anti"),
-            "edges",
-        )
-        taken = won if taken is None else taken.unionByName(won)
-
-
-def _take_sequentially(edges: DataFrame, left: Sequence[str], right: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last, checked-to-be-small remainder in one task."""
-    left, right, order = list(left), list(right), list(order)
+        over = links.join(labels, "__l__").groupBy("__r__").agg(F.min("__comp__").alias("low"))
+        near = links.join(over, "__r__").groupBy("__l__").agg(F.min("low").alias("low"))
+        jumps = near.select(F.col("__l__").alias("low"), F.col("low").alias("jump"))
+        step = labels.join(near, "__l__").join(jumps, "low")
+        new = materialise(step.select("__l__", F.col("jump").alias("__comp__"), F.col("__comp__").alias("was")), "labels")
+        labels = new.select("__l__", "__comp__")
+        if new.where("__comp__ <> was").isEmpty():
+            return rows.join(labels, "__l__")
+
+
+def _take_in_order(parted: DataFrame, left: list[str], right: list[str], order: Sequence[str], names: list[str]) -> DataFrame:
+    """Edges taken in order within each ``__task__``, which holds whole components of a checked size."""
+    order = list(order)
 
     def take(pdf):
         used_left, used_right, keep = set(), set(), []
@@ -262,6 +313,6 @@ def _take_sequentially(edges: DataFrame, left: Sequence[str], right: Sequence[st
             if free:
                 used_left.add(l)
                 used_right.add(r)
-        return pdf[keep]
+        return pdf.loc[keep, names]
 
-    return edges.groupBy(F.lit("rest").alias("part")).applyInPandas(take, edges.schema)
+    return parted.groupBy("__task__").applyInPandas(take, parted.select(*names).schema)
