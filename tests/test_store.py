@@ -99,6 +99,22 @@ def test_csv_over_tiny_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_csv_read_alike_at_any_size(spark, tmp_path):
+    """Rows equal to the header, both line ends inside cells, blank lines, bytes that are no UTF-8, other headers."""
+    body = b'\r\nid,text\r\n1,"two\r\nlines"\r\nid,text\r\n\r\n2,"one\nline\r\n"\r\n3,caf\xe9 \xff\xfe!\r\nid,text\r\n4,"a\rb"\r\n5,\xef\xbf\xbd'
+    (tmp_path / "a.csv").write_bytes(body)
+    (tmp_path / "b.csv").write_bytes(b'"id","the\ntext"\nid,text\n6,plain\n')
+    got = [
+        [tuple(r)[:2] for r in scan_csv(spark, str(tmp_path), with_origin=True, whole_file_bytes=size).orderBy(ORDINAL).collect()]
+        for size in (1 << 20, 0, 60)
+    ]
+    assert got[0] == got[1] == got[2]
+    assert got[1] == [
+        ("1", "two\r\nlines"), ("id", "text"), ("2", "one\nline\r\n"), ("3", "caf\ufffd \ufffd\ufffd!"), ("id", "text"),
+        ("4", "a\rb"), ("5", "\ufffd"), ("id", "text"), ("6", "plain"),
+    ]
+
+
 def test_every_null_token(spark, tmp_path):
     body = "k,v\n" + "".join(f'{i},"{t}"\n' for i, t in enumerate(NA_TOKENS)) + "x,nah\n"
     df = scan_csv(spark, write(tmp_path / "a.csv", body))

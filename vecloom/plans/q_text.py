@@ -63,6 +63,21 @@ def scan_csv_na(spark, sf):
     return scan_csv(spark, path).select("doc_id", F.md5("text").alias("text_md5"), "quality", "toxic")
 
 
+@query(
+    "scan_csv_any_size",
+    """SELECT doc_id::VARCHAR AS doc_id, md5(replace(text, chr(10), chr(13) || chr(10))) AS text_md5 FROM documents
+    UNION ALL SELECT 'doc_id', md5('text') FROM documents WHERE doc_id % 10 = 0""",
+)
+def scan_csv_any_size(spark, sf):
+    """Files split at lines as large ones are: Windows line breaks inside cells stay, rows equal to the header are data."""
+    docs = table(spark, sf, "documents")
+    out = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.replace("text", F.lit("\n"), F.lit("\r\n")).alias("text"))
+    headers = docs.where("doc_id % 10 = 0").select(F.lit("doc_id").alias("doc_id"), F.lit("text").alias("text"))
+    path = scratch(spark, "csv")
+    write_csv(out.unionByName(headers), path)
+    return scan_csv(spark, path, whole_file_bytes=0).select("doc_id", F.md5("text").alias("text_md5"))
+
+
 @query("scan_json_props", "SELECT event_id, event_type, (props->>'k')::BIGINT AS k FROM events")
 def scan_json_props(spark, sf):
     events = table(spark, sf, "events")

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import quoted
-from .pieces import read_pieces, whole_pieces
+from ..session import materialise
+from .pieces import MAX_BROADCAST_FILES, REPLACEMENT, read_pieces, whole_pieces
 
 # Cell texts that mean "missing" (the pandas default set).
 NA_TOKENS = (
@@ -73,9 +74,12 @@ def scan_csv(
 ) -> DataFrame:
     """All columns as STRING, ``na_tokens`` as null; cells may hold quoted line breaks.
 
-    Files up to ``whole_file_bytes`` are parsed whole, each in a task. Larger ones are split line by line,
-    and lines inside a quoted cell glued to the line their record begins on, so that no file is too large
-    for its task. ``with_origin`` adds the file path and an ordinal struct that restores file order.
+    Files up to ``whole_file_bytes`` are parsed whole, each in a task. Larger ones, and those with Windows line ends,
+    which that parser would change inside cells too, are split line by line, and lines inside a quoted cell
+    glued to the line their record begins on, so that no file is too large for its task. Both give the same rows: the
+    first record of a file is its header wherever equal ones follow, line breaks inside cells stay as they are,
+    and bytes that are no UTF-8 become U+FFFD. ``with_origin`` adds the file path and an ordinal struct that
+    restores file order.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     parser = {"escape": '"', "mode": "PERMISSIVE"}
@@ -90,9 +94,16 @@ def scan_csv(
         F.monotonically_increasing_id().alias("seq"),
         *[quoted(n).alias(s) for n, s in zip(names, slots)],
     )
+    ends = read_pieces(spark, paths, "\n", size <= whole_file_bytes).where(F.rlike("body", F.lit("^[^\r]*\r$")))
+    windows = materialise(ends.select("source").distinct(), "csv-windows")
+    if not windows.isEmpty():
+        windows = F.broadcast(windows) if len(whole.inputFiles()) <= MAX_BROADCAST_FILES else windows
+        rows = rows.join(windows, "source", "left_anti")
+        lines = read_pieces(spark, paths, "\n", size <= whole_file_bytes, REPLACEMENT).join(windows, "source", "left_semi")
+        rows = rows.unionByName(_split_rows(lines, slots, parser))
     files = spark.read.format("binaryFile").load(paths).select("path", "length")
     if not files.where(F.col("length") > whole_file_bytes).isEmpty():
-        rows = rows.unionByName(_split_rows(spark, paths, names, slots, parser, whole_file_bytes))
+        rows = rows.unionByName(_split_rows(read_pieces(spark, paths, "\n", size > whole_file_bytes, REPLACEMENT), slots, parser))
     cells = [F.when(~F.col(s).isin(list(na_tokens)), F.col(s)).alias(n) for s, n in zip(slots, names)]
     if not with_origin:
         return rows.select(*cells)
@@ -100,18 +111,21 @@ def scan_csv(
     return rows.select(*cells, F.col("source").alias(SOURCE), ordinal.alias(ORDINAL))
 
 
-def _split_rows(spark, paths, names, slots, parser, whole_file_bytes) -> DataFrame:
-    """Rows of the large files; lines equal to the header are left out."""
-    lines = read_pieces(spark, paths, "\n", F.col("_metadata.file_size") > whole_file_bytes)
-    lines = lines.withColumn("body", F.regexp_replace("body", "\r$", ""))
+def _split_rows(lines: DataFrame, slots: list[str], parser: dict[str, str]) -> DataFrame:
+    """Records of files that were split at line feeds, without each file's header."""
     records = whole_pieces(lines, _quoted_after(False) == 1, lambda: [_quoted_after(False), _quoted_after(True)], "\n")
+    # the return before a record's line break belongs to the break, those inside cells to the text
+    end = F.when(F.endswith("body", F.lit("\r")), F.expr("left(body, length(body) - 1)")).otherwise(F.col("body"))
+    records = records.withColumn("body", end).where("body <> ''")
+    # a record has the place of its first line, and the header is the first line that is not blank
+    first = lines.where(~F.col("body").isin("", "\r")).groupBy("source").agg(F.min(F.struct("block", "seq")).alias("at"))
+    first = materialise(first.select("source", "at.block", "at.seq"), "csv-headers")
+    if len(lines.inputFiles()) <= MAX_BROADCAST_FILES:
+        first = F.broadcast(first)
+    records = records.join(first, ["source", "block", "seq"], "left_anti")
     # one parse per record, as a generator so that it is not repeated for each column
     row = F.from_csv("body", ", ".join(f"{s} string" for s in slots), parser)
-    parsed = records.where("body <> ''").select("source", "block", "seq", F.inline(F.array(row)))
-    is_header = F.lit(True)
-    for slot, name in zip(slots, names):
-        is_header = is_header & F.col(slot).eqNullSafe(F.lit(name))
-    return parsed.where(~is_header)
+    return records.select("source", "block", "seq", F.inline(F.array(row)))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

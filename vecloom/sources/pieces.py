@@ -20,16 +20,17 @@ from ..session import materialise
 
 MAX_BROADCAST_FILES = 100_000
 START = 0
+REPLACEMENT = "\ufffd"
 
 
 def read_pieces(
-    spark: SparkSession, paths: str | Sequence[str], cut: str, files: Column | None = None
+    spark: SparkSession, paths: str | Sequence[str], cut: str, files: Column | None = None, bad_bytes: str = ""
 ) -> DataFrame:
-    """``(source, block, seq, body)`` of text files split at ``cut``; undecodable bytes are dropped.
+    """``(source, block, seq, body)`` of text files split at ``cut``; ``bad_bytes`` stands for bytes that are no UTF-8.
     ``files`` is a condition on the file metadata."""
     raw = spark.read.text(list(paths) if not isinstance(paths, str) else paths, lineSep=cut)
     raw = raw if files is None else raw.where(files)
-    valid = F.regexp_replace(F.make_valid_utf8("value"), "�", "")
+    valid = F.regexp_replace(F.make_valid_utf8("value"), REPLACEMENT, bad_bytes)
     text = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(valid)
     return raw.select(
         F.col("_metadata.file_path").alias("source"),
