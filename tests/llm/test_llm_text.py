@@ -58,6 +58,23 @@ class TestExactDedup:
         index.add(exact_dedup.digests(row(7, "a  b")))
         assert index.resolve(exact_dedup.digests(row(7, "a\tb"))).first()["keep_id"] == 50
 
+    def test_opened_from_its_folder(self, spark, docs, tmp_path):
+        """The second batch finds an index whose name is gone, as in a later session."""
+        rows, path = exact_dedup.digests(docs), str(tmp_path / "it's an index")
+        first = exact_dedup.DigestIndex.create(spark, path, buckets=3)
+        first.add(rows.where("doc_id < 30"))
+        kept = sorted(tuple(r) for r in first.rows().collect())
+        first.forget()
+        index = exact_dedup.DigestIndex.open(spark, path)
+        assert index.buckets == 3 and sorted(tuple(r) for r in index.rows().collect()) == kept
+        index.add(rows.where("doc_id >= 30"))
+        at_once = exact_dedup.DigestIndex.create(spark)
+        at_once.add(rows)
+        want = sorted(tuple(r) for r in at_once.resolve(rows).select("doc_id", "digest", "keep_id", "group_size").collect())
+        assert sorted(tuple(r) for r in index.resolve(rows).select("doc_id", "digest", "keep_id", "group_size").collect()) == want
+        plan = spark._jvm.PythonSQLUtils.explainString(index.rows().groupBy("digest").count()._jdf.queryExecution(), "formatted")
+        assert "Bucketed: true" in plan and "Exchange" not in plan
+
     def test_nulls_and_empty(self, spark):
         index = exact_dedup.DigestIndex.create(spark)
         rows = exact_dedup.digests(fx.documents(spark, [(None, "x", None, None, None), (3, "x", None, None, None), (None, None, None, None, None)]))

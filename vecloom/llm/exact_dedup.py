@@ -22,6 +22,8 @@ from ..session import scratch
 from .frames import partitions, salt, stored
 from .registry import query
 
+#: Folder of the number of buckets; Spark's readers pass over names that begin with "_".
+META = "_buckets"
 BLANKS = "[\\x20\\x09-\\x0D]+"
 
 
@@ -39,8 +41,9 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 class DigestIndex:
     """A bucketed, sorted table ``(digest, keep_id)`` that only grows.
 
-    ``name`` is the catalog name, ``path`` its folder; the catalog of the session decides how long
-    the name lives, the folder stays.
+    The folder ``path`` is the index: its rows, and beside them the number of buckets, so that :meth:`open` needs the
+    path alone, in any later session. ``name`` is only this session's name for it in the catalog; :meth:`forget` drops the
+    name and leaves the folder. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, name: str, path: str, buckets: int):
@@ -55,8 +58,24 @@ class DigestIndex:
             buckets or min(partitions(spark), 4096),
         )
         index._write(spark.range(0).select(F.col("id").cast("string").alias("digest"), F.col("id").alias("keep_id")), "errorifexists")
+        spark.range(1).select(F.lit(index.buckets).alias("buckets")).write.parquet(f"{index.path}/{META}")
         return index
 
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, name: str | None = None):
+        """The index that an earlier session left in ``path``."""
+        buckets = spark.read.schema("buckets int").parquet(f"{path}/{META}").first()["buckets"]
+        index = cls(spark, name or f"digest_index_{uuid.uuid4().hex}", path, buckets)
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE `{index.name}` (digest STRING, keep_id BIGINT) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{place}'"
+        )
+        return index
+
+    def forget(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS `{self.name}`")
+
     def _write(self, rows: DataFrame, mode: str) -> None:
         (
             rows.write.mode(mode)
