@@ -152,11 +152,13 @@ def test_gated_marks_equal_a_loop(spark, seed, limit):
     assert marks(events.gated_marks(e, m, seconds=20, component_edges=limit)) == loop_marks(opened, matches)
 
 
-def test_edges_in_order_by_component(spark):
+def test_edges_in_order_by_component(spark, monkeypatch):
     """Chains in which every edge waits for the one before it, and one hub, next to each other."""
     chains = [(f"c{k}", f"l{k}-{i // 2}", f"r{k}-{(i + 1) // 2}", i) for k in range(20) for i in range(4 + k % 9)]
     hub = [("hub", f"h{i % 7}", f"u{i % 11}", 40 + i) for i in range(77)]
     edges = spark.createDataFrame([(l, r, n, c) for c, l, r, n in chains + hub], "l string, r string, n int, c string")
+    monkeypatch.setattr(events, "ROUNDS", 1)
+    monkeypatch.setattr(events, "SHRINK", 0.5)
     used, want = set(), set()
     for n, l, r in sorted((n, l, r) for _, l, r, n in chains + hub):
         if l not in used and r not in used:

@@ -19,8 +19,9 @@ LOW_THRESHOLD = 0.25
 MIN_RUN = 2
 SLICE_SECONDS = 86_400
 TARGET_SLICE_ROWS = 1_000_000
-# Rounds go on while one leaves at most this share of its edges, and the most edges of a component that a task takes in order.
-SHRINK = 0.8
+# After so many rounds they go on while one leaves at most this share of its edges; then the most edges of a component
+# that a task takes in order.
+ROUNDS, SHRINK = 8, 0.8
 COMPONENT_EDGES = 100_000
 
 
@@ -237,7 +238,7 @@ def match_in_order(
     names = edges.columns
     rest = materialise(edges, "edges")
     taken = rest.limit(0)
-    n, least = rest.count(), 1
+    n, least = rest.count(), ROUNDS
     while n:
         # labels are dearer than rounds, so there are twice as many rounds before each further split
         done, slow = 0, False
