@@ -185,13 +185,14 @@ def _document_rows(spark, sf) -> DataFrame:
     ).select("id", "source", F.lit("documents").alias("table_name"), "row_id", F.lit(0).alias("position"), "text")
 
 
-SQL_SEARCH = f"""WITH d AS (SELECT sha1(text) AS id, min(source) AS source, min(doc_id)::VARCHAR AS row_id, any_value(text) AS text FROM documents GROUP BY sha1(text)),
+SQL_FOUND = f"""WITH d AS (SELECT sha1(text) AS id, min(source) AS source, min(doc_id)::VARCHAR AS row_id, any_value(text) AS text FROM documents GROUP BY sha1(text)),
     dv AS ({sql_encoded('SELECT id AS key, text FROM d')}),
     qv AS ({sql_encoded('SELECT item_id AS key, text FROM benchmark')}),
     pairs AS (SELECT b.item_id AS query_id, d.id, coalesce(s.score, 0) AS score FROM benchmark b CROSS JOIN d
       LEFT JOIN (SELECT qv.key AS q, dv.key AS id, sum(qv.w * dv.w) AS score FROM qv JOIN dv USING (bucket) GROUP BY ALL) s
       ON s.q = b.item_id AND s.id = d.id),
-    best AS (SELECT * FROM (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id))::INT AS rank FROM pairs) WHERE rank <= {K})
+    best AS (SELECT * FROM (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id))::INT AS rank FROM pairs) WHERE rank <= {K})"""
+SQL_SEARCH = f"""{SQL_FOUND}
     SELECT query_id, rank, source, row_id, substring(text, 1, 160) || CASE WHEN length(text) > 160 THEN '…' ELSE '' END AS preview,
       round(round(score, 9), 4) AS score FROM best JOIN d USING (id)"""
 
@@ -221,6 +222,29 @@ def job_search(spark, sf):
     )
 
 
+@query(
+    "result_rows",
+    f"""{SQL_FOUND} SELECT query_id, rank, printf('%.4f', round(score, 9)) AS score, 'documents' AS table_name, row_id,
+      substring(text, 1, 160) || CASE WHEN length(text) > 160 THEN '…' ELSE '' END AS preview FROM best JOIN d USING (id)""",
+)
+def result_rows_query(spark, sf):
+    """The terminal form of all benchmark texts' hits."""
+    rows = jobs.with_vectors(_document_rows(spark, sf))
+    return search.result_rows(jobs.search_texts(_benchmark_queries(spark, sf), rows, K))
+
+
+@query(
+    "result_cards",
+    f"""{SQL_FOUND} SELECT query_id, rank, regexp_replace(origin, '.*/', '') AS title, origin, round(round(score, 9), 2) AS score,
+      substring(text, 1, 400) || CASE WHEN length(text) > 400 THEN '...' ELSE '' END AS preview
+    FROM (SELECT *, coalesce(nullif('/corpus/' || source, '/corpus/'), 'documents') AS origin FROM best JOIN d USING (id))""",
+)
+def result_cards_query(spark, sf):
+    """The card form, sources being paths."""
+    rows = jobs.with_vectors(_document_rows(spark, sf).withColumn("source", F.concat(F.lit("/corpus/"), F.col("source"))))
+    return search.result_cards(jobs.search_texts(_benchmark_queries(spark, sf), rows, K))
+
+
 @query(
     "search_json",
     f"""WITH t AS ({SQL_IP}), q AS (SELECT DISTINCT label::BIGINT AS query_id FROM embeddings)
