@@ -21,6 +21,7 @@ documents; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import table
+from .frames import stored
 from .registry import query
 from .shingles import ALNUM_WORDS, Words, mix
 
@@ -155,10 +157,28 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def clean_documents(
+    docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, containment: float = CONTAINMENT, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """The rows of ``docs`` that hold no test item, with all their columns.
 
-    Rows are matched by id; the ids of documents with a leak are few, the join is left to the planner.
+    Rows are judged by their text: the scan gives the SHA-256 of the texts that hold an item, which are written, so that Spark
+    knows their size and broadcasts them where they are few. No ids are compared, so repeated and null ids do not matter.
     """
-    leaks = contained_items(docs, benchmark, **options).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, docs["doc_id"].cast("long") == leaks["_leak"], "left_anti")
+    spark, found = docs.sparkSession, None
+    for block in item_blocks(benchmark, width, containment, block_bytes):
+        sent = spark.sparkContext.broadcast(block)
+
+        def scan(batches, sent=sent):
+            words = Words(ALNUM_WORDS)
+            for b in batches:
+                texts = b.column(0).cast(pa.binary())
+                held = [k for k, w in enumerate(words.texts(b.column(0))) if next(sent.value.matches(w), None) is not None]
+                yield pa.record_batch([pa.array([sha256(texts[k].as_py()).hexdigest() for k in held], pa.string())], names=["_leak"])
+
+        part = docs.select("text").mapInArrow(scan, "_leak string")
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return docs
+    leaks = stored(found.distinct(), "leaking-texts")
+    return docs.join(leaks, F.sha2(docs["text"], 256) == leaks["_leak"], "left_anti")
