@@ -189,7 +189,8 @@ class TestDecontamination:
         return out
 
     @pytest.mark.parametrize("block_bytes", [64 << 20, 500])
-    def test_against_brute_force(self, spark, docs, block_bytes):
+    def test_against_brute_force(self, spark, docs, block_bytes, monkeypatch):
+        monkeypatch.setattr(decontam, "LEAKS_SENT", block_bytes >> 20)  # 64 and 0: leaks broadcast, and joined as planned
         texts = fx.texts()
         long = texts[-2].split()
         items = [(0, " ".join(long[500:540])), (1, "no such passage anywhere at all"), (2, texts[25]), (3, ""), (4, None)]
@@ -200,6 +201,8 @@ class TestDecontamination:
         assert {tuple(r)[:4] for r in got.collect()} == self.brute(pairs(docs), items)
         clean = decontam.clean_documents(docs, bench)
         leaks = {r["doc_id"] for r in got.collect()}
+        plan = clean._jdf.queryExecution().logical().toString()
+        assert 0 < len(leaks) <= 64 and ("strategy=broadcast" in plan) == (block_bytes > 500)
         assert clean.columns == docs.columns
         assert {r["doc_id"] for r in clean.collect()} == {i for i, _ in pairs(docs)} - leaks
 

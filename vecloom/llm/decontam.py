@@ -37,6 +37,8 @@ WIDTH = 5
 CONTAINMENT = 0.8
 #: Bytes of item hashes that one broadcast may hold.
 BLOCK_BYTES = 64 << 20
+#: Digests of leaking texts (64 characters each) that one broadcast may hold.
+LEAKS_SENT = 500_000
 
 
 def grams(words: np.ndarray, width: int) -> np.ndarray:
@@ -162,8 +164,9 @@ def clean_documents(
 ) -> DataFrame:
     """The rows of ``docs`` that hold no test item, with all their columns.
 
-    Rows are judged by their text: the scan gives the SHA-256 of the texts that hold an item, which are written, so that Spark
-    knows their size and broadcasts them where they are few. No ids are compared, so repeated and null ids do not matter.
+    Rows are judged by their text: the scan gives the SHA-256 of the texts that hold an item. These are written and counted; up
+    to ``LEAKS_SENT`` are broadcast, so that texts stay where they are, and more of them are joined as Spark plans it. No ids are
+    compared, so repeated and null ids do not matter.
     """
     spark, found = docs.sparkSession, None
     for block in item_blocks(benchmark, width, containment, block_bytes):
@@ -181,4 +184,6 @@ def clean_documents(
     if found is None:
         return docs
     leaks = stored(found.distinct(), "leaking-texts")
+    if leaks.count() <= LEAKS_SENT:
+        leaks = F.broadcast(leaks)
     return docs.join(leaks, F.sha2(docs["text"], 256) == leaks["_leak"], "left_anti")
