@@ -250,3 +250,21 @@ def test_repeated_probes_are_matched_each_on_both_paths(spark, monkeypatch):
     assert rows() == [(7, 0), (7, 2)]
     with pytest.raises(ValueError, match="user_id"):
         identity.match_gallery(probes, gallery.unionByName(gallery))
+
+
+def test_a_large_gallery_meets_each_different_probe_once(spark, monkeypatch):
+    """Frames that show one face again add no pairs of vectors to compare."""
+    monkeypatch.setattr(search, "MAX_BROADCAST_ROWS", 1)
+    asked, plain = [], search.top_k
+
+    def counted(queries, *args, **kwargs):
+        asked.append(queries.count())
+        return plain(queries, *args, **kwargs)
+
+    monkeypatch.setattr(identity, "top_k", counted)
+    gallery = spark.createDataFrame([(k, f"u{k}", [float(k == j) for j in range(3)]) for k in range(3)], "user_id bigint, name string, embedding array<float>")
+    shown = [[1.0, 0.0, 0.0], [0.0, 1.0, 0.1], None]
+    probes = spark.createDataFrame([(i, shown[i % 3]) for i in range(60)], "probe_id bigint, embedding array<float>")
+    got = {r["probe_id"]: r["user_id"] for r in identity.match_gallery(probes, gallery).collect()}
+    assert got == {i: (0, 1, None)[i % 3] for i in range(60)}
+    assert asked == [2]

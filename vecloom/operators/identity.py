@@ -28,29 +28,31 @@ def match_gallery(
 
     Otherwise the name is "Unknown" with the best score, null for a zero vector. Equal scores go
     to the lower user id. A gallery of checked size is shipped to the probes, which are then
-    matched where they lie, in batches and streams alike; a larger one is matched block by block.
+    matched where they lie, in batches and streams alike; a larger one is matched block by block, each different
+    vector of the probes once.
     Rows of a repeated ``probe_id`` are matched each; a repeated ``user_id`` is refused.
     """
     refuse_repeats(gallery.where("embedding is not null"), "user_id")
     few = small_matrix(gallery, "user_id", "embedding", "name")
     if few is not None:
         return _match_in_place(probes, few, threshold, keep)
-    probes = materialise(probes.select("probe_id", *keep, "embedding").withColumn("__row__", F.monotonically_increasing_id()), "probes")
+    probes = materialise(probes.select("probe_id", *keep, "embedding"), "probes")
+    # each different vector is matched once, however many probes show it
+    seen = probes.select("embedding").where("embedding is not null").distinct()
+    seen = materialise(seen.withColumn("__vector__", F.monotonically_increasing_id()), "vectors")
     best = top_k(
-        probes.select(F.col("__row__").alias("query_id"), F.col("embedding").alias("query")),
+        seen.select(F.col("__vector__").alias("query_id"), F.col("embedding").alias("query")),
         gallery.select(F.col("user_id").alias("id"), "embedding"),
         k=1,
         metric="cosine",
     )
-    named = best.join(gallery.select(F.col("user_id").alias("id"), "name"), "id").withColumnRenamed("query_id", "__row__")
+    named = best.join(gallery.select(F.col("user_id").alias("id"), "name"), "id").withColumnRenamed("query_id", "__vector__")
+    named = materialise(seen.join(named, "__vector__").select("embedding", "id", "name", "score"), "matched")
     hit = F.col("score") > threshold
-    return probes.select("__row__", "probe_id", *keep).join(named, "__row__", "left").select(
-        "probe_id",
-        *keep,
-        F.when(hit, F.col("id")).alias("user_id"),
-        F.when(hit, F.col("name")).otherwise(F.lit(UNKNOWN)).alias("name"),
-        "score",
-    )
+    out = ["probe_id", *keep, F.when(hit, F.col("id")).alias("user_id"), F.when(hit, F.col("name")).otherwise(F.lit(UNKNOWN)).alias("name"), "score"]
+    # probes without a vector stay out of the join: they would meet in one task
+    without = probes.where("embedding is null").select("*", *[F.lit(None).cast(named.schema[c].dataType).alias(c) for c in ("id", "name", "score")])
+    return probes.where("embedding is not null").join(named, "embedding", "left").select(*out).unionByName(without.select(*out))
 
 
 def _match_in_place(probes: DataFrame, few: Matrix, threshold: float, keep: Sequence[str]) -> DataFrame:
