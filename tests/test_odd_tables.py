@@ -65,3 +65,7 @@ def repeated_pages():
 
 def test_stream_of_pages_with_repeated_urls(spark, tmp_path):
     assert differences(spark, tmp_path, "stream_ingest", pages=repeated_pages()) == ([], [], 0)
+
+
+def test_dump_of_pages_with_repeated_urls(spark, tmp_path):
+    assert differences(spark, tmp_path, "job_sql_dump", pages=repeated_pages()) == ([], [], 0)

@@ -104,9 +104,13 @@ def dump_chunks(
     max_tokens: int = chunk.MAX_TOKENS,
     overlap: int = chunk.OVERLAP,
     compat: bool = False,
+    source: str | None = None,
 ) -> DataFrame:
+    """Chunks of a dump with unique ids. With ``source`` all its files are that one source, else each is its own; equal
+    rows of a source are numbered on."""
     records = dump_records(spark, paths, min_text_len, compat)
-    cut = chunk.chunk_records(records, chunk.windows("text", max_tokens, overlap))
+    records = records if source is None else records.withColumn("source", F.lit(source))
+    cut = chunk.chunk_records(chunk.counted_records(records), chunk.windows("text", max_tokens, overlap))
     return chunk.distinct_chunks(cut)
 
 

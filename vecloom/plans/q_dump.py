@@ -142,10 +142,10 @@ def dry_run_counts(spark, sf):
     UNION ALL SELECT DISTINCT '', '', 0, md5(text) FROM ({SQL_COMMENTS})""",
 )
 def job_sql_dump(spark, sf):
-    """Dump to stored chunks with vectors; the id holds a scratch path and is left out."""
+    """Dump to stored chunks with vectors, its files being one source; the id holds more than the SQL has and is left out."""
     path = write_dump(spark, sf)
     store = RowStore(spark, scratch(spark, "store"), jobs.DEFAULT_DIM)
-    jobs.ingest_sql_dump(spark, [f"{path}/documents", f"{path}/pages"], store)
+    jobs.ingest_sql_dump(spark, [f"{path}/documents", f"{path}/pages"], store, source="dump")
     rows = store.read()
     return rows.select(
         F.coalesce("table_name", F.lit("")).alias("table_name"),
