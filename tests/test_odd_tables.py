@@ -4,10 +4,13 @@ import os
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from vecloom.functions.encoder import HashingEncoder
 from vecloom.plans.queries import ORACLES, QUERIES
+from vecloom.session import BATCH_BYTES
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,3 +72,12 @@ def test_stream_of_pages_with_repeated_urls(spark, tmp_path):
 
 def test_dump_of_pages_with_repeated_urls(spark, tmp_path):
     assert differences(spark, tmp_path, "job_sql_dump", pages=repeated_pages()) == ([], [], 0)
+
+
+def test_batches_of_long_rows_stay_small(spark, tmp_path):
+    """Registered queries bound a Python worker's batch by its bytes."""
+    QUERIES["sql_row_id"](spark, SF)
+    long = spark.range(400, numPartitions=1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    sizes = long.mapInArrow(lambda batches: (pa.record_batch([pa.array([b.nbytes])], names=["n"]) for b in batches), "n bigint").collect()
+    assert sum(r["n"] for r in sizes) > 40_000_000
+    assert max(r["n"] for r in sizes) < 2 * BATCH_BYTES
