@@ -15,7 +15,8 @@ from .text import _col
 
 DEFAULT_DIM = 384
 BATCH_TEXTS = 128
-_CACHE_LIMIT = 1_000_000
+# Tokens whose slots a worker keeps; some 20 MB.
+_CACHE_LIMIT = 100_000
 
 
 class Encoder(Protocol):
