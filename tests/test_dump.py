@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from vecloom.operators import extract
 from vecloom.plans import jobs
+from vecloom.sources import pieces
 from vecloom.sources.sqldump import BLOCK, CODE, STRING, scan_statements, state_after
 from vecloom.sources.store import RowStore
 
@@ -215,3 +217,24 @@ def test_older_reading_over_tiny_splits(spark, tmp_path):
 )
 def test_flat_tuples(values, want):
     assert list(extract.flat_tuples(values)) == want
+
+
+def test_states_are_folded_in_parts_of_a_split(spark, tmp_path, monkeypatch):
+    """A split of many short pieces: no task folds more of them at once than its bound, and states cross the parts' borders."""
+    most, fold = 1 << 16, pieces._fold
+
+    def guarded(steps, names, state):
+        assert len(steps) <= most, f"{len(steps)} pieces in a group"
+        return fold(steps, names, state)
+
+    monkeypatch.setattr(pieces, "_fold", guarded)
+    n = 150_000
+    opening = {10, 32767, 32768, 40_000, 65_535, 149_998}
+    (tmp_path / "a.txt").write_text("".join(f'{i}{"#" if i in opening else ""}\n' for i in range(n)))
+    lines = pieces.read_pieces(spark, str(tmp_path), "\n")
+    turns = F.endswith("body", F.lit("#")).cast("int")
+    got = pieces.states_before(lines, [turns, 1 - turns])
+    assert got.select("source", "block").distinct().count() == 1 and got.count() == n
+    body = lines.join(got.where("before = 1"), ["source", "block", "seq"]).select(F.regexp_replace("body", "#", "").cast("int"))
+    inside = [*range(11, 32768), *range(32769, 40_001), *range(65_536, 149_999)]
+    assert sorted(r[0] for r in body.collect()) == inside

@@ -3,8 +3,8 @@
 A file is split wherever a separator stands, also where it stands inside something (a quoted cell, a
 string, a block comment). Each piece is a step from the lexical state at its start to the one at its end;
 what state a piece starts in is a prefix composition of the steps before it. It is folded within
-each file split first and over a file's splits second, so a task sees integers of one split, or one row
-per split of one file, never a whole file's text.
+parts of a file split first and over a file's parts second, so a task sees integers of ``PART_PIECES`` pieces at most, or one row
+per part of one file, never a whole file's text.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 MAX_BROADCAST_FILES = 100_000
+#: Pieces of a split that are folded at once, a power of two: what a Python worker holds follows neither from the size of a split nor of a file.
+PART_PIECES = 1 << 15
 START = 0
 REPLACEMENT = "\ufffd"
 
@@ -66,31 +68,34 @@ def states_before(pieces: DataFrame, steps: Sequence[Column]) -> DataFrame:
     state at a piece's end when it starts in state i."""
     names = [f"s{i}" for i in range(len(steps))]
     ddl = ", ".join(f"{n} int" for n in names)
-    stepped = pieces.select("source", "block", "seq", *[s.alias(n) for s, n in zip(steps, names)])
+    # the pieces of a split are numbered on end, so equal high bits are neighbours
+    part = F.shiftright("seq", PART_PIECES.bit_length() - 1).alias("part")
+    stepped = pieces.select("source", "block", part, "seq", *[s.alias(n) for s, n in zip(steps, names)])
 
     def through(pdf: pd.DataFrame) -> pd.DataFrame:
-        """A split as one step."""
+        """A part of a split as one step."""
         pdf = pdf.sort_values("seq")
         ends = [_fold(pdf, names, i)[-1] for i in range(len(names))]
-        return pd.DataFrame([[pdf["source"].iloc[0], pdf["block"].iloc[0], *ends]], columns=["source", "block", *names])
+        key = ["source", "block", "part"]
+        return pd.DataFrame([[*pdf[key].iloc[0], *ends]], columns=[*key, *names])
 
-    def split_starts(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("block")
-        return pdf[["source", "block"]].assign(start=_fold(pdf, names, START)[:-1])
+    def part_starts(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["block", "part"])
+        return pdf[["source", "block", "part"]].assign(start=_fold(pdf, names, START)[:-1])
 
     def piece_starts(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("seq")
         return pdf[["source", "block", "seq"]].assign(before=_fold(pdf, names, int(pdf["start"].iloc[0]))[:-1])
 
     starts = (
-        stepped.groupBy("source", "block")
-        .applyInPandas(through, f"source string, block bigint, {ddl}")
+        stepped.groupBy("source", "block", "part")
+        .applyInPandas(through, f"source string, block bigint, part bigint, {ddl}")
         .groupBy("source")
-        .applyInPandas(split_starts, "source string, block bigint, start int")
+        .applyInPandas(part_starts, "source string, block bigint, part bigint, start int")
     )
     return (
-        stepped.join(starts, ["source", "block"])
-        .groupBy("source", "block")
+        stepped.join(starts, ["source", "block", "part"])
+        .groupBy("source", "block", "part")
         .applyInPandas(piece_starts, "source string, block bigint, seq bigint, before int")
     )
 
