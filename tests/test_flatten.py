@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from vecloom.operators import flatten
 from vecloom.plans import jobs
+from vecloom.plans.queries import QUERIES
 from vecloom.sources.csv import scan_csv, write_csv
 from vecloom.sources.json import parse_documents, scan_json
 
@@ -147,3 +148,19 @@ def test_typed_struct(spark):
 def test_fill_missing(spark):
     out = flatten.fill_missing(spark.createDataFrame([(1, None)], "`a.b` int, c string"))
     assert out.first().asDict() == {"a.b": "1", "c": ""}
+
+
+@pytest.mark.parametrize("name", ["flatten_long", "flatten_props"])
+def test_one_row_group_is_unrolled_by_all_cores(spark, name):
+    """The scan of such a file is one task; each record is parsed once, whatever is filtered."""
+    out = QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert out.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("parseJson(") == 1
+
+
+def test_depth_sees_no_brackets_in_strings(spark):
+    docs = [{"a": '[[{"[', "b{": [[1]]}, {'x"]': "\\", "y": "}{", "z": {}}]
+    for doc, levels in zip(docs, (3, 2)):
+        df = spark.createDataFrame([(0, json.dumps(doc))], "rec_id int, j string")
+        assert flatten.depth(parse_documents(df, F.col("j"), ["rec_id"])[0]) == levels
+    assert long_form(spark, docs) == [{"a": '[[{"[', "b{[0]": "1"}, {'x"]': "\\", "y": "}{"}]

@@ -98,7 +98,7 @@ def depth(df: DataFrame, column: str = "v") -> int:
     The merged schema of a record would not do: it stops at lists of mixed kinds.
     """
     unescaped = F.regexp_replace(F.to_json(F.col(column)), r"\\.", "")
-    brackets = F.regexp_replace(F.regexp_replace(unescaped, '"[^"]*"', ""), r"[^\[\]{}]", "")
+    brackets = F.regexp_replace(unescaped, r'"[^"]*"|[^\[\]{}"]+', "")  # runs at once, not character by character
     zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
     def add(acc: Column, m: Column) -> Column:
@@ -109,20 +109,27 @@ def depth(df: DataFrame, column: str = "v") -> int:
     return df.agg(F.max(most)).first()[0] or 0
 
 
-def entries(column: str, levels: int, sep: str = ".") -> Column:
-    """Flat ``array<(path, value)>`` of a VARIANT record, empty objects leaving nothing."""
+def leaves(column: str, levels: int, sep: str = ".") -> Column:
+    """Flat ``array<(path, v, kind)>`` of a VARIANT record, empty objects leaving nothing."""
     flat = F.array(_entry(F.lit(""), F.col(column)))
     for _ in range(levels):
         flat = F.flatten(F.transform(flat, lambda e: _children(e, sep)))
     # an object still here has no keys
-    flat = F.filter(flat, lambda e: ~e["kind"].startswith("OBJECT"))
-    return F.transform(flat, lambda e: F.struct(e["path"].alias("path"), _leaf_text(e["v"], e["kind"]).alias("value")))
+    return F.filter(flat, lambda e: ~e["kind"].startswith("OBJECT"))
+
+
+def entries(column: str, levels: int, sep: str = ".") -> Column:
+    """Flat ``array<(path, value)>`` of a VARIANT record, as ``leaves``."""
+    text = lambda e: F.struct(e["path"].alias("path"), _leaf_text(e["v"], e["kind"]).alias("value"))
+    return F.transform(leaves(column, levels, sep), text)
 
 
 def flatten_long(df: DataFrame, key: str = "rec_id", column: str = "v", levels: int | None = None, sep: str = ".") -> DataFrame:
     """``(key, path, value)``, the form to use when keys are open-ended."""
     levels = depth(df, column) if levels is None else levels
-    return df.select(key, F.inline(entries(column, levels, sep)))
+    # numbered names inside, as the key may be called like a part of an entry; a leaf's text is compiled only outside of a lambda
+    rows = df.select(F.col(key), F.inline(leaves(column, levels, sep))).toDF("c0", "c1", "c2", "c3")
+    return rows.select(F.col("c0").alias(key), F.col("c1").alias("path"), _leaf_text(F.col("c2"), F.col("c3")).alias("value"))
 
 
 def paths_of(df: DataFrame, column: str = "v", levels: int | None = None, sep: str = ".") -> list[str]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys, text
 from ..operators import chunk, flatten, profile
-from ..session import scratch
+from ..session import scratch, spread
 from ..sources.csv import scan_csv, write_csv
 from ..sources.json import parse_documents, scan_json
 from .registry import query, table
@@ -296,13 +296,13 @@ FLAT_PATHS = {
 
 
 def _part_documents(spark, sf):
-    docs = table(spark, sf, "part").select(F.col("p_partkey").alias("rec_id"), F.expr(PART_JSON).alias("json"))
+    docs = spread(table(spark, sf, "part")).select(F.col("p_partkey").alias("rec_id"), F.expr(PART_JSON).alias("json"))
     return parse_documents(docs, F.col("json"), ["rec_id"])[0]
 
 
 @query("flatten_props", "SELECT event_id, 'k' AS path, props->>'k' AS value FROM events")
 def flatten_props(spark, sf):
-    parsed, _ = parse_documents(table(spark, sf, "events"), F.col("props"), ["event_id"])
+    parsed, _ = parse_documents(spread(table(spark, sf, "events")), F.col("props"), ["event_id"])
     return flatten.flatten_long(parsed, key="event_id")
 
 

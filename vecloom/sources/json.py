@@ -92,5 +92,7 @@ def parse_documents(df: DataFrame, text: Column, keep: Sequence[str]) -> tuple[D
 
     Text the parser refuses, duplicate keys included, goes to the second frame untouched.
     """
-    out = df.select(*keep, text.alias("json"), F.try_parse_json(text).alias("v"))
+    out = df.select(*keep, text.alias("json"))
+    # as a generator, so that a filter on the outcome does not parse every text once more
+    out = out.select(*keep, "json", F.explode(F.array(F.try_parse_json("json"))).alias("v"))
     return out.where("v is not null").drop("json"), out.where("v is null and json is not null").drop("v")
