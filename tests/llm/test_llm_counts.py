@@ -252,6 +252,18 @@ class TestQuality:
         ids = [r["doc_id"] for r in quality.trusted_ids(labels, most=5).collect()]
         assert ids == sorted(range(50), key=lambda i: zlib.crc32(str(i).encode()))[:5]
 
+    @pytest.mark.parametrize("bits", [quality.BITS, 8])
+    def test_every_trusted_document_counts(self, spark, monkeypatch, bits):
+        monkeypatch.setattr(quality, "BITS", bits)
+        rng = random.Random(9)
+        rows = [(k, fx.words(rng, 11, 500)) for k in range(20_600)]
+        marks = [(k, 1, 0) for k in range(20_300)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        trusted = quality.trusted_ids(self.labels(spark, marks))
+        assert trusted.count() == len(marks)
+        got = sorted(tuple(r) for r in quality.judged(docs, quality.fit(docs, trusted)).collect())
+        assert got == sorted(quality_brute(rows, marks)) and not all(r[-1] for r in got)
+
     def test_empty(self, spark):
         none = fx.empty(spark)
         assert quality.judged(none, quality.fit(none, quality.trusted_ids(self.labels(spark, [(1, 1, 0)])))).count() == 0
