@@ -293,6 +293,30 @@ class TestNearDuplicates:
         got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(fx.documents(spark, rows), 3, 80).collect()}
         assert got == near_brute([r[:2] for r in rows], 3, 80)
 
+    def test_scratch_is_bounded_and_released(self, spark, docs, monkeypatch):
+        """Prefix rows and pairs in turns give the same result; each turn's rows, and wide tables that nothing reads any more, are deleted."""
+        kept, most, gone = {}, {}, set()
+
+        def stored(df, label, f=minhash.stored):
+            out = f(df, label)
+            kept[out._stored_in] = label
+            now = [x for x in kept.values() if x == label]
+            most[label] = max(most.get(label, 0), len(now))
+            return out
+
+        def release(*tables, f=minhash.release):
+            gone.update(kept.pop(t._stored_in) for t in tables)
+            f(*tables)
+
+        monkeypatch.setattr(minhash, "stored", stored)
+        monkeypatch.setattr(minhash, "release", release)
+        for name, value in (("TURN_ENTRIES", 1), ("TURN_PAIRS", 0), ("TURN_PAIRS_LEAST", 4)):
+            monkeypatch.setattr(minhash, name, value)
+        got = minhash.near_duplicates(docs, 3, 85).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == near_brute(pairs(docs), 3, 85)
+        assert most["near-open"] == 1 and most["near-met"] >= minhash.TURNS
+        assert {"near-sigs", "near-bands", "near-open", "near-marked"} <= gone
+
     @pytest.mark.parametrize("sizes", [(5, 5), (40, 47), (3000, 2600), (700, 700)])
     def test_histograms_bound_what_sets_share(self, sizes):
         rng = np.random.default_rng(sum(sizes))
