@@ -213,6 +213,25 @@ class TestDecontamination:
         some = spark.createDataFrame([(1, "a b c d e f")], self.ITEMS)
         assert decontam.contained_items(fx.empty(spark), some).count() == 0
 
+    def test_leaks_are_sent_as_numbers(self, spark):
+        """What the driver builds of the leaks are checksums; a clean text with the checksum of a leak stays."""
+        item = "one two three four five six seven"
+        hashed = [hashlib.md5(str(k).encode()).hexdigest() for k in range(300_000)]
+        sums = {zlib.crc32(f"{item} {h}".encode()): h for h in hashed}
+        leak, plain = next((sums[c], h) for h in hashed if (c := zlib.crc32(f"plain {h[::-1]}".encode())) in sums)
+        plain = f"plain {plain[::-1]}"
+        texts = [f"{item} {leak}", plain, None, f"{item} {leak}", "", plain, f"{item} x"]
+        docs = fx.documents(spark, [(k % 3 or None, t, None, str(k), None) for k, t in enumerate(texts)])
+        was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            clean = decontam.clean_documents(docs, spark.createDataFrame([(1, item)], self.ITEMS))
+            plan = clean._jdf.queryExecution().executedPlan().toString()
+            assert sorted(r["source"] for r in clean.collect()) == ["1", "2", "4", "5"]
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+        assert set(re.findall(r"BroadcastMode\(List\(input\[0, (\w+)", plan)) == {"bigint"}
+
 
 def near_brute(rows, width, percent):
     sets = {}

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import sha256
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ WIDTH = 5
 CONTAINMENT = 0.8
 #: Bytes of item hashes that one broadcast may hold.
 BLOCK_BYTES = 64 << 20
-#: Digests of leaking texts (64 characters each) that one broadcast may hold.
+#: Checksums of leaking texts (a number each) that one broadcast may hold.
 LEAKS_SENT = 500_000
 
 
@@ -164,9 +165,10 @@ def clean_documents(
 ) -> DataFrame:
     """The rows of ``docs`` that hold no test item, with all their columns.
 
-    Rows are judged by their text: the scan gives the SHA-256 of the texts that hold an item. These are written and counted; up
-    to ``LEAKS_SENT`` are broadcast, so that texts stay where they are, and more of them are joined as Spark plans it. No ids are
-    compared, so repeated and null ids do not matter.
+    Rows are judged by their text: the scan gives the SHA-256 of the texts that hold an item, and their CRC-32. These are written and counted.
+    Up to ``LEAKS_SENT`` checksums are broadcast, as numbers, since the driver builds what is broadcast: texts with another checksum
+    are clean and stay where they are, the few others are joined by their digest. More are joined by digest at once, as Spark plans it. No ids
+    are compared, so repeated and null ids do not matter.
     """
     spark, found = docs.sparkSession, None
     for block in item_blocks(benchmark, width, containment, block_bytes):
@@ -177,13 +179,23 @@ def clean_documents(
             for b in batches:
                 texts = b.column(0).cast(pa.binary())
                 held = [k for k, w in enumerate(words.texts(b.column(0))) if next(sent.value.matches(w), None) is not None]
-                yield pa.record_batch([pa.array([sha256(texts[k].as_py()).hexdigest() for k in held], pa.string())], names=["_leak"])
+                held = [texts[k].as_py() for k in held]
+                yield pa.record_batch(
+                    [pa.array([sha256(t).hexdigest() for t in held], pa.string()), pa.array([crc32(t) for t in held], pa.int64())],
+                    names=["_leak", "_sum"],
+                )
 
-        part = docs.select("text").mapInArrow(scan, "_leak string")
+        part = docs.select("text").mapInArrow(scan, "_leak string, _sum long")
         found = part if found is None else found.unionByName(part)
     if found is None:
         return docs
     leaks = stored(found.distinct(), "leaking-texts")
-    if leaks.count() <= LEAKS_SENT:
-        leaks = F.broadcast(leaks)
-    return docs.join(leaks, F.sha2(docs["text"], 256) == leaks["_leak"], "left_anti")
+
+    def without(rows):
+        return rows.join(leaks, F.sha2(rows["text"], 256) == leaks["_leak"], "left_anti")
+
+    if leaks.count() > LEAKS_SENT:
+        return without(docs)
+    sums = F.broadcast(leaks.select("_sum").distinct())
+    equal = F.crc32(docs["text"].cast("binary")) == sums["_sum"]
+    return docs.join(sums, equal, "left_anti").union(without(docs.join(sums, equal, "left_semi")))
